@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # Prime below 2^31: products of two residues stay inside a signed 64-bit integer.
 PRIME = 2147483647
 SHINGLE_BASE = 1000003
+_CHUNK = 512  # 100 functions x 512 numbers stay in the processor's cache
 
 
 @dataclass(frozen=True)
@@ -44,8 +45,8 @@ def shingle_numbers(text: str, k: int) -> np.ndarray:
 def min_hashes(numbers: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest value of every hash function over the given numbers."""
     out = np.full(len(a), PRIME, dtype=np.int64)
-    for start in range(0, len(numbers), 2048):
-        part = numbers[start : start + 2048]
+    for start in range(0, len(numbers), _CHUNK):
+        part = numbers[start : start + _CHUNK]
         np.minimum(out, ((a[:, None] * part + b[:, None]) % PRIME).min(axis=1), out=out)
     return out
 
@@ -66,7 +67,8 @@ def signature_of_text(text: Column, family: MinHashFamily, k: int = 5) -> Column
             dtype="object",
         )
 
-    return sign(text)
+    # nondeterministic: the planner may not work it out again for a filter on the result
+    return sign.asNondeterministic()(text)
 
 
 def signature_of_numbers(numbers: Column, family: MinHashFamily) -> Column:
@@ -83,7 +85,7 @@ def signature_of_numbers(numbers: Column, family: MinHashFamily) -> Column:
             dtype="object",
         )
 
-    return sign(numbers)
+    return sign.asNondeterministic()(numbers)
 
 
 def agreement(a: str, b: str) -> Column:

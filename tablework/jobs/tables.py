@@ -60,13 +60,12 @@ RENAME_SQL = "SELECT s_name AS name, s_suppkey AS key, s_acctbal AS balance FROM
 def minmax_norm(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *MEASURES)
     norms = [f"norm_{c}" for c in MEASURES]
-    out = clean.normalise(lines, MEASURES).select("l_orderkey", "l_linenumber", *norms)
-    return rounded(out, 6, *norms)
+    return clean.normalise(lines, MEASURES).select("l_orderkey", "l_linenumber", *norms)
 
 
 MINMAX_SQL = (
     "SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"round(({c} - low_{c}) / (high_{c} - low_{c}), 6) AS norm_{c}" for c in MEASURES)
+    + ", ".join(f"({c} - low_{c}) / (high_{c} - low_{c}) AS norm_{c}" for c in MEASURES)
     + " FROM lineitem, (SELECT "
     + ", ".join(f"min({c}) AS low_{c}, max({c}) AS high_{c}" for c in MEASURES)
     + " FROM lineitem)"
@@ -219,13 +218,12 @@ def series_means(spark, folder):
         F.lit(1).alias("one"),
     )
     wide = series.widen(slots, ["user_id", "span"], "slot", "one")
-    means = series.mean_popularity(wide, ["user_id", "span"])
-    return rounded(means, 6, "per_hour", "per_day").orderBy("user_id", "span")
+    return series.mean_popularity(wide, ["user_id", "span"]).orderBy("user_id", "span")
 
 
 SERIES_SQL = """
 SELECT user_id, CAST(floor(epoch(ts) / 172800) AS BIGINT) AS span,
-       round(count(*) / 48, 6) AS per_hour, round(count(*) / 2, 6) AS per_day
+       count(*) / 48 AS per_hour, count(*) / 2 AS per_day
 FROM events GROUP BY ALL
 """
 

@@ -78,10 +78,10 @@ candidates AS MATERIALIZED (SELECT a, b, agreement FROM scored WHERE agreement >
 
 
 def extract_blocks(spark, folder):
-    pages = spread(table(spark, folder, "pages").select("page_id", "html"))
+    pages = table(spark, folder, "pages").select("page_id", "html")
     return pages.select(
-        "page_id", F.posexplode(blocks_between("html", "<p>", "</p>")).alias("pos", "text")
-    )
+        "page_id", F.posexplode_outer(blocks_between("html", "<p>", "</p>")).alias("pos", "text")
+    ).filter(F.col("pos").isNotNull())
 
 
 EXTRACT_SQL = """
@@ -224,8 +224,7 @@ LSH_SQL = f"WITH {CANDIDATES_SQL} SELECT * FROM candidates"
 
 def lsh_verified(spark, folder):
     pairs = stage(lsh_candidates(spark, folder), "pairs")
-    found = lsh.verified_pairs(pairs, document_sets(spark, folder), "doc_id")
-    return found.withColumn("jaccard", F.round("jaccard", 9))
+    return lsh.verified_pairs(pairs, table(spark, folder, "documents"), "doc_id", "text", K)
 
 
 VERIFIED_SQL = f"""
@@ -234,7 +233,7 @@ shingles AS MATERIALIZED (SELECT DISTINCT doc_id, c1 || c2 || c3 || c4 || c5 AS
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (SELECT a, b, count(*) AS shared FROM candidates JOIN shingles x ON x.doc_id = a
            JOIN shingles y ON y.doc_id = b AND y.shingle = x.shingle GROUP BY a, b)
-SELECT a, b, round(shared / (p.n + q.n - shared), 9) AS jaccard
+SELECT a, b, shared / (p.n + q.n - shared) AS jaccard
 FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
 """
 

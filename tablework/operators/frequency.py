@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.operators.profile import by_column
+from tablework.plans import unnest
 
 
 def word_counts(df: DataFrame, tokens: str, *groups: str) -> DataFrame:
     """Occurrences of every word of a token column, per group if groups are given."""
     return (
-        df.select(*groups, F.explode(tokens).alias("word"))
+        unnest(df.select(*groups, tokens), tokens, "word")
         .groupBy(*groups, "word")
         .agg(F.count("*").alias("n"))
     )

@@ -27,9 +27,9 @@ def _jaccard(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _agreement(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    equal = np.zeros((len(q), len(c)), dtype=np.int32)
+    equal = np.zeros((len(q), len(c)), dtype=np.uint8 if q.shape[1] < 256 else np.int32)
     for i in range(q.shape[1]):
-        equal += q[:, i][:, None] == c[:, i][None, :]
+        equal += q[:, i][:, None] == np.ascontiguousarray(c[:, i])[None, :]
     return equal / q.shape[1]
 
 
@@ -95,7 +95,7 @@ def exact_neighbours(
     k: int = 3,
     measure: str = "cosine",
     with_self: bool = False,
-    block_rows: int = 8192,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """``(query, rank, neighbour, similarity)`` by linear search; ``(id, vec)`` on both sides.
 
@@ -118,7 +118,7 @@ def exact_neighbours(
 
 def bucketed(df: DataFrame, planes: SignPlanes, vector: str = "vec") -> DataFrame:
     """Add ``bucket``: the row once per table of planes, with its table and sign bits."""
-    spread_out = df.select("*", F.posexplode(sign_buckets(vector, planes)).alias("_t", "_bits"))
+    spread_out = df.select("*", F.posexplode_outer(sign_buckets(vector, planes)).alias("_t", "_bits"))
     bucket = F.struct(F.col("_t").alias("t"), F.col("_bits").alias("bits"))
     return spread_out.withColumn("bucket", bucket).drop("_t", "_bits")
 
@@ -130,7 +130,7 @@ def approximate_neighbours(
     k: int = 3,
     measure: str = "cosine",
     with_self: bool = False,
-    block_rows: int = 8192,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """Like ``exact_neighbours``, among rows on the same side of all planes of some table.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.functions.hashing import agreement, band_keys
+from tablework.operators.sets import shingle_sets
 from tablework.plans import block_cells, stage
 
 
@@ -35,8 +36,9 @@ def copy_members(signatures: DataFrame, groups: DataFrame, row_id: str) -> DataF
 
 def band_rows(groups: DataFrame, rows: int, bands: int) -> DataFrame:
     """``(rep, band, key)``: one row per band of every signature."""
+    # outer: a plain posexplode would have the keys worked out twice, see unnest
     return groups.select(
-        "rep", F.posexplode(band_keys("sig", rows, bands)).alias("band", "key")
+        "rep", F.posexplode_outer(band_keys("sig", rows, bands)).alias("band", "key")
     )
 
 
@@ -156,14 +158,25 @@ def candidate_pairs(
 
 
 def verified_pairs(
-    pairs: DataFrame, sets: DataFrame, row_id: str, threshold: float | None = None
+    pairs: DataFrame,
+    df: DataFrame,
+    row_id: str,
+    text: str,
+    k: int = 5,
+    threshold: float | None = None,
 ) -> DataFrame:
-    """``(a, b, jaccard)``: exact similarity of the shingle sets of candidate pairs."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias(row_id)).distinct()
-    used = sets.join(wanted, row_id, "left_semi")
-    side = lambda name: used.select(
-        F.col(row_id).alias(name), F.col("shingles").alias(f"set_{name}")
-    )
+    """``(a, b, jaccard)``: exact similarity of the shingle sets of candidate pairs.
+
+    Only texts that are in some pair are read on and cut into shingles, once each.
+    """
+    wanted = pairs.select(F.inline(F.array(F.struct(F.col("a").alias(row_id)),
+                                           F.struct(F.col("b").alias(row_id))))).distinct()
+    used = df.select(row_id, text).join(wanted, row_id, "left_semi").repartition(row_id)
+    sets = stage(shingle_sets(used, row_id, text, k), "sets")
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col(row_id).alias(name), F.col("shingles").alias(f"set_{name}"))
+
     both = F.size(F.array_intersect("set_a", "set_b"))
     jaccard = both / (F.size("set_a") + F.size("set_b") - both)
     found = (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.text import letter_tokens, shingles
-from tablework.plans import dense_index
+from tablework.plans import dense_index, unnest
 
 
 def shingle_sets(df: DataFrame, row_id: str, text: str, k: int = 5, tokens=letter_tokens) -> DataFrame:
@@ -16,7 +16,7 @@ def shingle_sets(df: DataFrame, row_id: str, text: str, k: int = 5, tokens=lette
 
 def shingle_vocabulary(sets: DataFrame) -> DataFrame:
     """Every shingle that occurs anywhere, once: ``(shingle)``."""
-    return sets.select(F.explode("shingles").alias("shingle")).distinct()
+    return unnest(sets.select("shingles"), "shingles", "shingle").distinct()
 
 
 def shingle_index(sets: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def shingle_matrix(sets: DataFrame, row_id: str, index: DataFrame) -> DataFrame:
     Swapping the two columns is the transposed matrix.
     """
     return (
-        sets.select(row_id, F.explode("shingles").alias("shingle"))
+        unnest(sets.select(row_id, "shingles"), "shingles", "shingle")
         .join(index, "shingle")
         .select(row_id, "idx")
     )

@@ -2,6 +2,6 @@
 
 from tablework.plans.blocks import block_cells
 from tablework.plans.ranges import dense_index, running_total
-from tablework.plans.staging import spread, stage
+from tablework.plans.staging import spread, stage, unnest
 
-__all__ = ["block_cells", "dense_index", "running_total", "spread", "stage"]
+__all__ = ["block_cells", "dense_index", "running_total", "spread", "stage", "unnest"]

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -37,6 +38,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unnest(df: DataFrame, array: str | Column, out: str) -> DataFrame:
+    """One row per element of ``array`` as column ``out``; rows without elements drop out.
+
+    A plain ``explode`` makes the planner add a filter on the array's size at the
+    scan, which works out the whole array expression a second time; the outer
+    form with a filter on the element does not.
+    """
+    keep = [c for c in df.columns if c != array]
+    return df.select(*keep, F.explode_outer(array).alias(out)).filter(F.col(out).isNotNull())
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than cores one split per core.
 
