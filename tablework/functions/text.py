@@ -19,9 +19,8 @@ STORY_WORD = "reuter"
 STORY_TAG = "<[^\\n]*?>"
 STORY_END = "REUTER &#3;"
 
-# Python's idea of white space, letters and word characters, as Java patterns.
-SPACE = "[\\s\\x0B\\x1C-\\x1F\\x85\\p{Z}]+"
-SHORT_WORD = "^\\p{L}{1,26}$"
+# Python's idea of white space and word characters, as Java patterns.
+SPACE = "\\s\\x0B\\x1C-\\x1F\\x85\\p{Z}"
 WORD = "[\\p{L}\\p{N}_]+"
 
 
@@ -38,16 +37,18 @@ def unescape(column: str) -> Column:
 
 def words(column: str | Column, min_length: int = 2) -> Column:
     """Lower-case words between non-word characters (ASCII), at least ``min_length`` long."""
-    text = F.col(column) if isinstance(column, str) else column
-    return F.filter(F.split(F.lower(text), "\\W"), lambda w: F.length(w) >= min_length)
+    return F.regexp_extract_all(F.lower(column), F.lit(f"\\w{{{min_length},}}"), 0)
 
 
 def letter_tokens(column: str) -> Column:
-    """White-space tokens in lower case, edges stripped, kept if 1 to 26 letters."""
-    stripped = F.transform(
-        F.split(unescape(column), SPACE), lambda t: F.btrim(F.lower(t), F.lit(TOKEN_EDGES))
-    )
-    return F.filter(stripped, lambda t: t.rlike(SHORT_WORD))
+    """White-space tokens in lower case, edges stripped, kept if 1 to 26 letters.
+
+    One pattern does it in one pass over the text: between white space, edge
+    characters, letters, edge characters.
+    """
+    edges = "[" + re.escape(TOKEN_EDGES.replace(" ", "")) + "]*+"
+    token = f"(?<![^{SPACE}]){edges}(\\p{{L}}{{1,26}}+){edges}(?![^{SPACE}])"
+    return F.regexp_extract_all(F.lower(unescape(column)), F.lit(token), 1)
 
 
 def story_tokens(column: str) -> Column:

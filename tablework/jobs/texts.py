@@ -156,7 +156,8 @@ FROM (SELECT DISTINCT shingle FROM shingles)
 
 def shingle_matrix(spark, folder):
     """Per document: how many ones its row of the 0/1 matrix has and where they lie."""
-    found = stage(document_sets(spark, folder), "sets")
+    # cutting the texts a second time is cheaper than keeping all sets, several times their size
+    found = document_sets(spark, folder)
     ones = sets.shingle_matrix(found, "doc_id", sets.shingle_index(found))
     return ones.groupBy("doc_id").agg(
         F.count("*").alias("ones"),
@@ -177,7 +178,7 @@ FROM shingles JOIN vocabulary USING (shingle) GROUP BY doc_id
 
 
 def shingle_matrix_corner(spark, folder):
-    return sets.matrix_corner(stage(document_sets(spark, folder), "sets"), "doc_id", 100)
+    return sets.matrix_corner(document_sets(spark, folder), "doc_id", 100)
 
 
 CORNER_SQL = f"""

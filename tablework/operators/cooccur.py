@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tablework.operators.frequency import top_per_group, word_counts
-from tablework.plans import stage
+from tablework.plans import join_lookup, stage
 
 # Count matrices kept in a task before they are handed on (100 words: 80 KB each).
 _OPEN_GROUPS = 500
+# Groups whose word lists every executor may hold (a hundred words each).
+_BROADCAST_GROUPS = 20_000
 
 
 def vocabulary(df: DataFrame, group: str, tokens: str, size: int = 100) -> DataFrame:
@@ -82,16 +84,14 @@ def cooccurrence(
     words is ever a row before it is counted.
     """
     words = stage(words or vocabulary(df, group, tokens, size), "vocabulary")
-    present = (
-        df.select(group, F.col(tokens).alias("_tokens"))
-        .join(words, df[group].eqNullSafe(words[group]))
-        .select(
-            words[group].alias(group),
-            F.transform(
-                F.array_intersect("words", "_tokens"),
-                lambda w: F.array_position("words", w) - 1,
-            ).alias("present"),
-        )
+    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens"))
+    same_group = F.col("_row_group").eqNullSafe(F.col(group))
+    present = join_lookup(rows, words, same_group, limit=_BROADCAST_GROUPS).select(
+        group,
+        F.transform(
+            F.array_intersect("words", "_tokens"),
+            lambda w: F.array_position("words", w) - 1,
+        ).alias("present"),
     )
     field = words.schema[group]
     schema = StructType(

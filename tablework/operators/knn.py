@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablework.functions.hashing import SignPlanes, sign_buckets
 from tablework.plans import block_cells, stage
 
-_CHUNK = 256  # query rows scored at once inside a cell
+_SCORES = 1 << 21  # similarities held at once inside a cell
 _DIGITS = 9  # similarities are compared after rounding, so ties do not hang on float noise
 
 
@@ -54,9 +54,10 @@ def _nearest(measure: str, k: int, with_self: bool):
             ids = right.column("id").to_numpy()[order]
             rows = _matrix(right, measure)[order]
             asked, queries = left.column("id").to_numpy(), _matrix(left, measure)
-            for at in range(0, len(asked), _CHUNK):
-                mine = asked[at : at + _CHUNK]
-                sim = np.round(score(queries[at : at + _CHUNK], rows), _DIGITS)
+            step = max(1, _SCORES // len(ids))
+            for at in range(0, len(asked), step):
+                mine = asked[at : at + step]
+                sim = np.round(score(queries[at : at + step], rows), _DIGITS)
                 if not with_self:
                     sim[mine[:, None] == ids[None, :]] = -np.inf
                 if k < len(ids):
@@ -95,7 +96,7 @@ def exact_neighbours(
     k: int = 3,
     measure: str = "cosine",
     with_self: bool = False,
-    block_rows: int = 4096,
+    block_rows: int = 32768,
 ) -> DataFrame:
     """``(query, rank, neighbour, similarity)`` by linear search; ``(id, vec)`` on both sides.
 
@@ -130,7 +131,7 @@ def approximate_neighbours(
     k: int = 3,
     measure: str = "cosine",
     with_self: bool = False,
-    block_rows: int = 4096,
+    block_rows: int = 32768,
 ) -> DataFrame:
     """Like ``exact_neighbours``, among rows on the same side of all planes of some table.
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tablework.functions.hashing import agreement, band_keys
 from tablework.operators.sets import shingle_sets
-from tablework.plans import block_cells, stage
+from tablework.plans import block_cells, join_by_count, stage
+
+_SCORES = 1 << 21  # comparisons held at once inside a cell
 
 
 def copy_groups(signatures: DataFrame, row_id: str) -> DataFrame:
@@ -30,8 +32,9 @@ def copy_members(signatures: DataFrame, groups: DataFrame, row_id: str) -> DataF
     two rows belong together if they share ``rep`` or their reps are a pair.
     """
     key = F.md5(F.array_join(F.transform("sig", lambda v: v.cast("string")), ","))
-    reps = groups.select(key.alias("_key"), "rep")
-    return signatures.select(row_id, key.alias("_key")).join(reps, "_key").select(row_id, "rep")
+    reps = groups.select(key.alias("_key"), "rep", "copies")
+    rows = signatures.select(row_id, key.alias("_key"))
+    return join_by_count(rows, reps, ["_key"], "copies").select(row_id, "rep")
 
 
 def band_rows(groups: DataFrame, rows: int, bands: int) -> DataFrame:
@@ -62,12 +65,13 @@ def _close_pairs(threshold: float, rows: int):
             band, same = key[0].as_py()["band"], key[1].as_py() == key[2].as_py()
             a, b = left.column("rep").to_numpy(), right.column("rep").to_numpy()
             x, y = matrix(left), matrix(right)
-            for at in range(0, len(a), 256):
-                equal = np.zeros((len(a[at : at + 256]), len(b)), dtype=np.int16)
+            step = max(1, _SCORES // len(b))
+            for at in range(0, len(a), step):
+                equal = np.zeros((len(a[at : at + step]), len(b)), dtype=np.int16)
                 earlier = np.zeros(equal.shape, dtype=bool)
                 run = None
                 for i in range(x.shape[1]):
-                    hit = x[at : at + 256, i][:, None] == y[:, i][None, :]
+                    hit = x[at : at + step, i][:, None] == y[:, i][None, :]
                     equal += hit
                     run = hit if i % rows == 0 else run & hit
                     if i % rows == rows - 1 and i // rows < band:
@@ -76,7 +80,7 @@ def _close_pairs(threshold: float, rows: int):
                 # a pair is reported by the first band it shares
                 keep = (share >= threshold) & ~earlier
                 if same:
-                    keep &= a[at : at + 256][:, None] < b[None, :]
+                    keep &= a[at : at + step][:, None] < b[None, :]
                 r, c = np.nonzero(keep)
                 found_a.append(np.minimum(a[at + r], b[c]))
                 found_b.append(np.maximum(a[at + r], b[c]))
@@ -98,7 +102,7 @@ def candidate_pairs(
     bands: int = 20,
     threshold: float = 0.8,
     bucket_limit: int = 100,
-    block_rows: int = 4096,
+    block_rows: int = 16384,
 ) -> DataFrame:
     """``(a, b, agreement)``, ``a < b``: representatives that share a band and agree enough.
 
@@ -115,11 +119,9 @@ def candidate_pairs(
         raise ValueError(f"{bands} bands do not divide a signature of {size['k']} values")
     rows = size["k"] // bands
 
+    placed = band_rows(groups, rows, bands)
     shared = stage(
-        band_rows(groups, rows, bands).join(
-            bucket_sizes(band_rows(groups, rows, bands)), ["band", "key"]
-        ),
-        "buckets",
+        join_by_count(placed, bucket_sizes(placed), ["band", "key"], "members"), "buckets"
     )
     small = (
         shared.filter(F.col("members") < bucket_limit)
@@ -131,8 +133,11 @@ def candidate_pairs(
     )
     sig_a = groups.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"))
     sig_b = groups.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"))
+    # merge: size estimates do not see how many pairs a bucket list makes
     close = (
-        small.join(sig_a, "a")
+        small.hint("merge")
+        .join(sig_a, "a")
+        .hint("merge")
         .join(sig_b, "b")
         .select("a", "b", agreement("sig_a", "sig_b").alias("agreement"))
         .filter(F.col("agreement") >= threshold)
@@ -181,8 +186,8 @@ def verified_pairs(
     jaccard = both / (F.size("set_a") + F.size("set_b") - both)
     found = (
         pairs.select("a", "b")
-        .join(side("a"), "a")
-        .join(side("b"), "b")
+        .join(side("a").hint("merge"), "a")
+        .join(side("b").hint("merge"), "b")
         .select("a", "b", jaccard.alias("jaccard"))
     )
     return found if threshold is None else found.filter(F.col("jaccard") >= threshold)
@@ -197,7 +202,7 @@ def neighbour_lists(pairs: DataFrame, line_length: int = 1000) -> DataFrame:
     degrees = pairs.groupBy("a").agg(F.count("*").alias("_degree"))
     lines = F.ceil(F.col("_degree") / line_length)
     return (
-        pairs.join(degrees, "a")
+        join_by_count(pairs, degrees, ["a"], "_degree")
         .withColumn("line", F.pmod(F.xxhash64("b"), lines).cast("int"))
         .groupBy("a", "line")
         .agg(F.sort_array(F.collect_list("b")).alias("neighbours"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.text import letter_tokens, shingles
-from tablework.plans import dense_index, unnest
+from tablework.plans import dense_index, join_lookup, unnest
 
 
 def shingle_sets(df: DataFrame, row_id: str, text: str, k: int = 5, tokens=letter_tokens) -> DataFrame:
@@ -29,11 +29,8 @@ def shingle_matrix(sets: DataFrame, row_id: str, index: DataFrame) -> DataFrame:
 
     Swapping the two columns is the transposed matrix.
     """
-    return (
-        unnest(sets.select(row_id, "shingles"), "shingles", "shingle")
-        .join(index, "shingle")
-        .select(row_id, "idx")
-    )
+    ones = unnest(sets.select(row_id, "shingles"), "shingles", "shingle")
+    return join_lookup(ones, index, "shingle").select(row_id, "idx")
 
 
 def matrix_corner(sets: DataFrame, row_id: str, n: int = 100) -> DataFrame:

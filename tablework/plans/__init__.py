@@ -1,7 +1,8 @@
-"""Plan building blocks shared by the operators: staging, ranges, block cells."""
+"""Plan building blocks shared by the operators: staging, ranges, block cells, skewed joins."""
 
 from tablework.plans.blocks import block_cells
 from tablework.plans.ranges import dense_index, running_total
+from tablework.plans.skew import join_by_count, join_lookup
 from tablework.plans.staging import spread, stage, unnest
 
-__all__ = ["block_cells", "dense_index", "running_total", "spread", "stage", "unnest"]
+__all__ = ["block_cells", "dense_index", "join_by_count", "join_lookup", "running_total", "spread", "stage", "unnest"]

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.plans.skew import join_by_count
+
 Cell = Callable[[tuple, pa.Table, pa.Table], pa.Table]
 
 
-def _blocks(rows: str, block_rows: int):
-    return F.greatest(F.ceil(F.col(rows) / block_rows), F.lit(1)).cast("int")
+# Blocks are made smaller than asked for, down to this, while there are idle cores.
+_SMALLEST_BLOCK = 512
+
+
+def _blocks(rows: str, block_rows: int, wanted: int):
+    needed = F.ceil(F.col(rows) / block_rows)
+    useful = F.least(F.ceil(F.col(rows) / _SMALLEST_BLOCK), F.lit(wanted))
+    return F.greatest(needed, useful, F.lit(1)).cast("int")
 
 
 def _block_of(row_id: str, blocks: str):
@@ -26,7 +35,7 @@ def block_cells(
     row_id: str,
     cell: Cell,
     schema: str,
-    block_rows: int = 8192,
+    block_rows: int = 16384,
     mirrored: bool = False,
     few_groups: bool = False,
 ) -> DataFrame:
@@ -46,13 +55,20 @@ def block_cells(
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
     n_left = left.groupBy(group).agg(F.count("*").alias("_n_left"))
     n_right = right.groupBy(group).agg(F.count("*").alias("_n_right"))
+    wanted = math.isqrt(left.sparkSession.sparkContext.defaultParallelism - 1) + 1
     sizes = n_left.join(n_right, group).select(
         group,
-        _blocks("_n_left", block_rows).alias("_left_blocks"),
-        _blocks("_n_right", block_rows).alias("_right_blocks"),
+        "_n_left",
+        "_n_right",
+        _blocks("_n_left", block_rows, wanted).alias("_left_blocks"),
+        _blocks("_n_right", block_rows, wanted).alias("_right_blocks"),
     )
-    if few_groups:
-        sizes = F.broadcast(sizes)
+
+    def with_blocks(side: DataFrame, rows: str) -> DataFrame:
+        if few_groups:
+            return side.join(F.broadcast(sizes), group)
+        return join_by_count(side, sizes, [group], rows)
+
     own = F.col("_own")
     if mirrored:
         left_cells = F.sequence(own, F.col("_right_blocks") - 1)
@@ -61,12 +77,12 @@ def block_cells(
         left_cells = F.sequence(F.lit(0), F.col("_right_blocks") - 1)
         right_cells = F.sequence(F.lit(0), F.col("_left_blocks") - 1)
     left_rows = (
-        left.join(sizes, group)
+        with_blocks(left, "_n_left")
         .withColumn("_own", _block_of(row_id, "_left_blocks"))
         .select(*left.columns, own.alias("_i"), F.explode(left_cells).alias("_j"))
     )
     right_rows = (
-        right.join(sizes, group)
+        with_blocks(right, "_n_right")
         .withColumn("_own", _block_of(row_id, "_right_blocks"))
         .select(*right.columns, F.explode(right_cells).alias("_i"), own.alias("_j"))
     )

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tablework.plans import block_cells, dense_index, running_total, stage, unnest
+from tablework.plans import block_cells, dense_index, join_by_count, running_total, stage, unnest
 
 
 def test_dense_index_is_the_position_in_order(spark):
@@ -58,3 +58,17 @@ def test_cells_cover_every_pair_once_and_stay_small(spark):
     half = block_cells(df, df, "g", "id", _all_pairs, "a bigint, b bigint, rows bigint", block_rows=10, mirrored=True).collect()
     assert {frozenset((r.a, r.b)) for r in half} == {frozenset(p) for p in want}
     assert len(half) < len(want)
+
+
+def test_join_by_count_with_a_hot_key(spark):
+    rows = [("hot" if i % 3 else f"k{i}", i) for i in range(4000)]
+    left = spark.createDataFrame(rows, "k string, i bigint").repartition(5)
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    joined = join_by_count(left, counts, ["k"], "n")
+    sizes = {"hot": sum(1 for i in range(4000) if i % 3)}
+    assert sorted((r.i, r.k, r.n) for r in joined.collect()) == [(i, k, sizes.get(k, 1)) for k, i in rows]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    some = counts.filter("n = 1")
+    assert join_by_count(left, some, ["k"], "n").count() == 4000 - sizes["hot"]
+    assert join_by_count(left, counts.filter("false"), ["k"], "n").count() == 0
