@@ -178,7 +178,8 @@ FROM shingles JOIN vocabulary USING (shingle) GROUP BY doc_id
 
 
 def shingle_matrix_corner(spark, folder):
-    return sets.matrix_corner(document_sets(spark, folder), "doc_id", 100)
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return sets.matrix_corner(documents, "doc_id", "text", 100, K)
 
 
 CORNER_SQL = f"""

@@ -125,6 +125,22 @@ pairs AS (SELECT a.lang, a.rank AS r1, a.word AS w1, b.rank AS r2, b.word AS w2,
 COOCCURRENCE_SQL = f"WITH {PAIRS_SQL} SELECT * FROM pairs"
 
 
+def cooccurrence_all_rows(spark, folder):
+    return cooccur.cooccurrence(document_words(spark, folder), "lang", "tokens", all_rows=True)
+
+
+ALL_ROWS_SQL = f"""
+WITH {WORDS_SQL}, {TOP_SQL},
+present AS (SELECT DISTINCT doc_id, ranked.lang, ranked.word, rank
+            FROM words JOIN ranked ON words.word = ranked.word),
+counts AS (SELECT x.lang, x.rank AS r1, y.rank AS r2, count(*) AS n
+           FROM present x JOIN present y ON x.doc_id = y.doc_id AND x.lang = y.lang GROUP BY ALL)
+SELECT a.lang, a.rank AS r1, a.word AS w1, b.rank AS r2, b.word AS w2, coalesce(c.n, 0) AS n
+FROM ranked a JOIN ranked b ON a.lang = b.lang
+LEFT JOIN counts c ON c.lang = a.lang AND c.r1 = a.rank AND c.r2 = b.rank
+"""
+
+
 def cooccurrence_matrix(spark, folder):
     return cooccur.as_matrix(cooccurrence(spark, folder), "lang")
 
@@ -142,6 +158,7 @@ QUERIES = {
     "word_top_first_groups": word_top_first_groups,
     "word_report": word_report,
     "cooccurrence": cooccurrence,
+    "cooccurrence_all_rows": cooccurrence_all_rows,
     "cooccurrence_matrix": cooccurrence_matrix,
 }
 
@@ -152,5 +169,6 @@ SQL = {
     "word_top_first_groups": FIRST_GROUPS_SQL,
     "word_report": REPORT_SQL,
     "cooccurrence": COOCCURRENCE_SQL,
+    "cooccurrence_all_rows": ALL_ROWS_SQL,
     "cooccurrence_matrix": MATRIX_SQL,
 }

@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tablework.operators.frequency import top_per_group, word_counts
-from tablework.plans import join_lookup, stage
+from tablework.plans import join_lookup, stage, unnest
 
 # Count matrices kept in a task before they are handed on (100 words: 80 KB each).
 _OPEN_GROUPS = 500
@@ -70,35 +71,64 @@ def _count_pairs(group_type: pa.DataType, size: int):
     return count
 
 
+def _present_in_group(df: DataFrame, group: str, tokens: str, words: DataFrame) -> DataFrame:
+    """Per row the places of its words in its own group's list."""
+    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens")).filter(
+        F.col("_tokens").isNotNull()
+    )
+    same_group = F.col("_row_group").eqNullSafe(F.col(group))
+    return join_lookup(rows, words, same_group, limit=_BROADCAST_GROUPS).select(
+        group,
+        F.transform(
+            F.array_intersect("words", "_tokens"),
+            lambda w: F.array_position("words", w) - 1,
+        ).alias("present"),
+    )
+
+
+def _present_anywhere(df: DataFrame, tokens: str, group: str, words: DataFrame) -> DataFrame:
+    """Per row and group the places of the row's words in that group's list."""
+    entries = stage(words.select(group, F.posexplode("words").alias("place", "word")), "entries")
+    # the staged row number stays the same however often the rows are read
+    rows = stage(
+        df.select(F.monotonically_increasing_id().alias("_row"), F.array_distinct(tokens).alias("_t")),
+        "rows",
+    )
+    found = join_lookup(unnest(rows, "_t", "word"), entries, "word", limit=_BROADCAST_GROUPS)
+    # a list is no longer than a group's word list
+    return found.groupBy("_row", group).agg(F.collect_list("place").alias("present")).select(
+        group, F.transform("present", lambda p: p.cast("bigint")).alias("present")
+    )
+
+
 def cooccurrence(
-    df: DataFrame, group: str, tokens: str, size: int = 100, words: DataFrame | None = None
+    df: DataFrame,
+    group: str,
+    tokens: str,
+    size: int = 100,
+    words: DataFrame | None = None,
+    all_rows: bool = False,
 ) -> DataFrame:
     """In how many rows of a group two of its top words appear together.
 
     Result: ``(group, r1, w1, r2, w2, n)`` for all pairs of a group's words, with
     zeros, both orders, and the document frequency where ``w1 = w2``. ``r1`` and
-    ``r2`` are the words' ranks.
+    ``r2`` are the words' ranks. With ``all_rows`` the pairs are counted in the
+    rows of all groups instead of the group's own.
 
     Every task adds up 0/1 products of its own rows, so what is shuffled is one
     small matrix per task and group, however many rows the group has; no pair of
     words is ever a row before it is counted.
     """
     words = stage(words or vocabulary(df, group, tokens, size), "vocabulary")
-    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens"))
-    same_group = F.col("_row_group").eqNullSafe(F.col(group))
-    present = join_lookup(rows, words, same_group, limit=_BROADCAST_GROUPS).select(
-        group,
-        F.transform(
-            F.array_intersect("words", "_tokens"),
-            lambda w: F.array_position("words", w) - 1,
-        ).alias("present"),
-    )
+    if all_rows:
+        present = _present_anywhere(df, tokens, group, words)
+    else:
+        present = _present_in_group(df, group, tokens, words)
     field = words.schema[group]
     schema = StructType(
         [StructField("g", field.dataType)] + [StructField(c, LongType()) for c in ("i", "j", "n")]
     )
-    from pyspark.sql.pandas.types import to_arrow_type
-
     partial = present.mapInArrow(_count_pairs(to_arrow_type(field.dataType), size), schema)
     counts = partial.groupBy("g", "i", "j").agg(F.sum("n").alias("n"))
     cells = words.select(

@@ -33,15 +33,21 @@ def shingle_matrix(sets: DataFrame, row_id: str, index: DataFrame) -> DataFrame:
     return join_lookup(ones, index, "shingle").select(row_id, "idx")
 
 
-def matrix_corner(sets: DataFrame, row_id: str, n: int = 100) -> DataFrame:
+def matrix_corner(
+    df: DataFrame, row_id: str, text: str, n: int = 100, k: int = 5, tokens=letter_tokens
+) -> DataFrame:
     """First ``n`` shingles by text order x first ``n`` rows by id, zeros kept.
 
-    ``(idx, shingle, col, row_id, present)``. The corner is ``n * n`` cells; only
-    the ``n`` smallest shingles and ids are looked for, nothing is numbered
-    beyond them.
+    ``(idx, shingle, col, row_id, present)``. The corner is ``n * n`` cells. The
+    first shingles of the vocabulary are among the first ``n`` of every text, so
+    only those leave a row; nothing is numbered beyond the corner.
     """
-    shingle = shingle_vocabulary(sets).orderBy("shingle").limit(n)
-    rows = sets.orderBy(row_id).limit(n)
+    first = shingle_sets(df, row_id, text, k, tokens).select(
+        F.slice(F.array_sort("shingles"), 1, n).alias("shingles")
+    )
+    shingle = shingle_vocabulary(first).orderBy("shingle").limit(n)
+    rows = df.select(row_id, text).orderBy(row_id).limit(n)
+    rows = shingle_sets(rows, row_id, text, k, tokens)
     by_text, by_id = Window.orderBy("shingle"), Window.orderBy(row_id)
     # both windows run over at most n rows
     shingle = shingle.withColumn("idx", F.row_number().over(by_text) - 1)

@@ -6,7 +6,7 @@ import numpy as np
 from tablework.operators import cooccur
 
 
-def brute_force(rows, size):
+def brute_force(rows, size, all_rows=False):
     groups = {}
     for group, tokens in rows:
         groups.setdefault(group, []).append(tokens)
@@ -15,7 +15,8 @@ def brute_force(rows, size):
         counts = Counter(w for t in texts for w in t)
         words = sorted(counts, key=lambda w: (-counts[w], w))[:size]
         for a, b in product(words, words):
-            out[group, a, b] = sum(a in t and b in t for t in texts)
+            where = [t for _, t in rows] if all_rows else texts
+            out[group, a, b] = sum(a in t and b in t for t in where)
     return out
 
 
@@ -24,7 +25,8 @@ def test_against_brute_force_with_a_hot_and_many_small_groups(spark):
     rows = [("hot", [f"w{i}" for i in draw.randint(0, 30, 12)]) for _ in range(300)]
     rows += [(f"g{g}", [f"w{i}" for i in draw.randint(0, 5, 4)]) for g in range(600) for _ in range(2)]
     rows += [(None, ["x", "y"]), (None, ["x"]), ("one", ["alone"])]
-    df = spark.createDataFrame(rows, "g string, t array<string>").repartition(3)
+    empty = [("hot", None), ("hot", []), ("silent", None)]
+    df = spark.createDataFrame(rows + empty, "g string, t array<string>").repartition(3)
     found = cooccur.cooccurrence(df, "g", "t", size=10)
     got = {(r.g, r.w1, r.w2): r.n for r in found.collect()}
     assert got == brute_force(rows, 10)
@@ -40,3 +42,11 @@ def test_matrix_form(spark):
         (1, 2, "b", 1, 1, 0),
         (1, 3, "c", 1, 0, 1),
     ]
+
+
+def test_counted_in_the_rows_of_all_groups(spark):
+    draw = np.random.RandomState(6)
+    rows = [(f"g{i % 4}", [f"w{v}" for v in draw.randint(0, 12, 6)]) for i in range(80)]
+    df = spark.createDataFrame(rows, "g string, t array<string>").repartition(3)
+    found = cooccur.cooccurrence(df, "g", "t", size=5, all_rows=True)
+    assert {(r.g, r.w1, r.w2): r.n for r in found.collect()} == brute_force(rows, 5, all_rows=True)

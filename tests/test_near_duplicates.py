@@ -145,7 +145,7 @@ def test_sets_matrix_and_corner(spark):
     assert {r.shingle: r.idx for r in index.collect()} == {"abcde": 0, "bcdef": 1, "cdefg": 2}
     ones = sets.shingle_matrix(found, "d", index)
     assert {tuple(r) for r in ones.collect()} == {(5, 0), (5, 1), (5, 2), (2, 1)}
-    corner = sets.matrix_corner(found, "d", 2)
+    corner = sets.matrix_corner(df, "d", "t", 2)
     assert {(r.idx, r.col, r.d): r.present for r in corner.collect()} == {
         (0, 0, 2): 0, (0, 1, 5): 1, (1, 0, 2): 1, (1, 1, 5): 1,
     }
