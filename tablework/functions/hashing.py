@@ -44,11 +44,17 @@ def shingle_numbers(text: str, k: int) -> np.ndarray:
 
 def min_hashes(numbers: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest value of every hash function over the given numbers."""
-    out = np.full(len(a), PRIME, dtype=np.int64)
+    least = np.full(len(a), PRIME, dtype=np.int64)
+    # one buffer for all parts: fresh ones of this size would be mapped in again each time
+    buffer = np.empty((len(a), min(len(numbers), _CHUNK)), dtype=np.int64)
     for start in range(0, len(numbers), _CHUNK):
         part = numbers[start : start + _CHUNK]
-        np.minimum(out, ((a[:, None] * part + b[:, None]) % PRIME).min(axis=1), out=out)
-    return out
+        values = buffer[:, : len(part)]
+        np.multiply(a[:, None], part, out=values)
+        values += b[:, None]
+        np.remainder(values, PRIME, out=values)
+        np.minimum(least, values.min(axis=1), out=least)
+    return least
 
 
 def signature_of_text(text: Column, family: MinHashFamily, k: int = 5) -> Column:

@@ -9,13 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tablework.operators.frequency import top_per_group, word_counts
 from tablework.plans import join_lookup, stage, unnest
 
-# Count matrices kept in a task before they are handed on (100 words: 80 KB each).
-_OPEN_GROUPS = 500
 # Groups whose word lists every executor may hold (a hundred words each).
 _BROADCAST_GROUPS = 20_000
 
@@ -30,65 +28,63 @@ def vocabulary(df: DataFrame, group: str, tokens: str, size: int = 100) -> DataF
     return ranked.groupBy(group).agg(F.transform(entries, lambda e: e["word"]).alias("words"))
 
 
-def _count_pairs(group_type: pa.DataType, size: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict = {}
+def _count_pairs(group_type: pa.DataType):
+    """Per batch and group ``(g, w1, w2, n)`` with ``w1 <= w2``: rows that hold both words."""
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for value, matrix in sums.items():
-                i, j = np.nonzero(np.triu(matrix))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = batch.column(0).dictionary_encode()
+            codes = groups.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            lists = batch.column(1)
+            row = np.repeat(np.arange(len(codes)), lists.value_lengths().to_numpy())
+            words = lists.flatten().dictionary_encode()
+            word = words.indices.to_numpy()
+            # words numbered in text order
+            order = np.argsort(np.array(words.dictionary.to_pylist(), dtype=object), kind="stable")
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.arange(len(order))
+            by_group = np.argsort(codes[row], kind="stable")
+            row, word = row[by_group], rank[word[by_group]]
+            codes_of = codes[row]
+            starts = np.flatnonzero(np.diff(codes_of, prepend=np.iinfo(np.int64).min))
+            for start, end in zip(starts, [*starts[1:], len(row)]):
+                code = codes_of[start]
+                here, column = np.unique(word[start:end], return_inverse=True)
+                rows, line = np.unique(row[start:end], return_inverse=True)
+                marks = np.zeros((len(rows), len(here)), dtype=np.float32)
+                marks[line, column] = 1
+                matrix = np.triu(np.rint(marks.T @ marks).astype(np.int64))
+                i, j = np.nonzero(matrix)
+                value = None if code < 0 else groups.dictionary[int(code)].as_py()
+                text = words.dictionary.take(pa.array(order[here]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([value] * len(i), type=group_type),
-                        pa.array(i.astype(np.int64)),
-                        pa.array(j.astype(np.int64)),
-                        pa.array(matrix[i, j].astype(np.int64)),
+                        text.take(pa.array(i)),
+                        text.take(pa.array(j)),
+                        pa.array(matrix[i, j]),
                     ],
-                    names=["g", "i", "j", "n"],
+                    names=["g", "a", "b", "n"],
                 )
-            sums.clear()
-
-        for batch in batches:
-            groups = batch.column(0).dictionary_encode()
-            codes = groups.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            present = batch.column(1)
-            row = np.repeat(np.arange(len(codes)), present.value_lengths().to_numpy())
-            word = present.flatten().to_numpy()
-            for code in np.unique(codes):
-                value = None if code < 0 else groups.dictionary[int(code)].as_py()
-                rows = np.flatnonzero(codes == code)
-                place = np.full(len(codes), -1)
-                place[rows] = np.arange(len(rows))
-                mine = place[row] >= 0
-                marks = np.zeros((len(rows), size), dtype=np.float32)
-                marks[place[row[mine]], word[mine]] = 1
-                matrix = sums.setdefault(value, np.zeros((size, size), dtype=np.int64))
-                matrix += np.rint(marks.T @ marks).astype(np.int64)
-                if len(sums) >= _OPEN_GROUPS:
-                    yield from flush()
-        yield from flush()
 
     return count
 
 
 def _present_in_group(df: DataFrame, group: str, tokens: str, words: DataFrame) -> DataFrame:
-    """Per row the places of its words in its own group's list."""
-    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens")).filter(
-        F.col("_tokens").isNotNull()
-    )
+    """Per row those of its words that are in its own group's list."""
+    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens"))
     same_group = F.col("_row_group").eqNullSafe(F.col(group))
     return join_lookup(rows, words, same_group, limit=_BROADCAST_GROUPS).select(
         group,
-        F.transform(
-            F.array_intersect("words", "_tokens"),
-            lambda w: F.array_position("words", w) - 1,
-        ).alias("present"),
+        F.coalesce(F.array_intersect("words", "_tokens"), F.array().cast("array<string>")).alias(
+            "present"
+        ),
     )
 
 
 def _present_anywhere(df: DataFrame, tokens: str, group: str, words: DataFrame) -> DataFrame:
-    """Per row and group the places of the row's words in that group's list."""
-    entries = stage(words.select(group, F.posexplode("words").alias("place", "word")), "entries")
+    """Per row and group those of the row's words that are in that group's list."""
+    entries = stage(words.select(group, F.explode("words").alias("word")), "entries")
     # the staged row number stays the same however often the rows are read
     rows = stage(
         df.select(F.monotonically_increasing_id().alias("_row"), F.array_distinct(tokens).alias("_t")),
@@ -96,8 +92,10 @@ def _present_anywhere(df: DataFrame, tokens: str, group: str, words: DataFrame)
     )
     found = join_lookup(unnest(rows, "_t", "word"), entries, "word", limit=_BROADCAST_GROUPS)
     # a list is no longer than a group's word list
-    return found.groupBy("_row", group).agg(F.collect_list("place").alias("present")).select(
-        group, F.transform("present", lambda p: p.cast("bigint")).alias("present")
+    return (
+        found.groupBy("_row", group)
+        .agg(F.collect_list("word").alias("present"))
+        .select(group, "present")
     )
 
 
@@ -116,9 +114,9 @@ def cooccurrence(
     ``r2`` are the words' ranks. With ``all_rows`` the pairs are counted in the
     rows of all groups instead of the group's own.
 
-    Every task adds up 0/1 products of its own rows, so what is shuffled is one
-    small matrix per task and group, however many rows the group has; no pair of
-    words is ever a row before it is counted.
+    Every task multiplies the 0/1 matrices of its own rows and adds up the
+    products, so what is shuffled is one small matrix per task and group, however
+    many rows the group has; no pair of words is a row before it is counted.
     """
     words = stage(words or vocabulary(df, group, tokens, size), "vocabulary")
     if all_rows:
@@ -127,23 +125,28 @@ def cooccurrence(
         present = _present_in_group(df, group, tokens, words)
     field = words.schema[group]
     schema = StructType(
-        [StructField("g", field.dataType)] + [StructField(c, LongType()) for c in ("i", "j", "n")]
+        [
+            StructField("g", field.dataType),
+            StructField("a", StringType()),
+            StructField("b", StringType()),
+            StructField("n", LongType()),
+        ]
     )
-    partial = present.mapInArrow(_count_pairs(to_arrow_type(field.dataType), size), schema)
-    counts = partial.groupBy("g", "i", "j").agg(F.sum("n").alias("n"))
+    partial = present.mapInArrow(_count_pairs(to_arrow_type(field.dataType)), schema)
+    counts = partial.groupBy("g", "a", "b").agg(F.sum("n").alias("n"))
     cells = words.select(
-        F.col(group).alias("_g"), "words", F.posexplode("words").alias("a", "w1")
-    ).select("_g", "a", "w1", F.posexplode("words").alias("b", "w2"))
+        F.col(group).alias("_g"), "words", F.posexplode("words").alias("r1", "w1")
+    ).select("_g", "r1", "w1", F.posexplode("words").alias("r2", "w2"))
     match = (
         F.col("_g").eqNullSafe(F.col("g"))
-        & (F.least("a", "b") == F.col("i"))
-        & (F.greatest("a", "b") == F.col("j"))
+        & (F.least("w1", "w2") == F.col("a"))
+        & (F.greatest("w1", "w2") == F.col("b"))
     )
     return cells.join(counts, match, "left").select(
         F.col("_g").alias(group),
-        (F.col("a") + 1).alias("r1"),
+        (F.col("r1") + 1).alias("r1"),
         "w1",
-        (F.col("b") + 1).alias("r2"),
+        (F.col("r2") + 1).alias("r2"),
         "w2",
         F.coalesce("n", F.lit(0)).alias("n"),
     )

@@ -11,7 +11,7 @@ from tablework.functions.hashing import agreement, band_keys
 from tablework.operators.sets import shingle_sets
 from tablework.plans import block_cells, join_by_count, stage
 
-_SCORES = 1 << 21  # comparisons held at once inside a cell
+_SCORES = 1 << 18  # comparisons held at once inside a cell
 
 
 def copy_groups(signatures: DataFrame, row_id: str) -> DataFrame:
@@ -69,13 +69,16 @@ def _close_pairs(threshold: float, rows: int):
             for at in range(0, len(a), step):
                 equal = np.zeros((len(a[at : at + step]), len(b)), dtype=np.int16)
                 earlier = np.zeros(equal.shape, dtype=bool)
-                run = None
+                hit, run = np.empty(equal.shape, dtype=bool), np.empty(equal.shape, dtype=bool)
                 for i in range(x.shape[1]):
-                    hit = x[at : at + step, i][:, None] == y[:, i][None, :]
+                    np.equal(x[at : at + step, i, None], y[None, :, i], out=hit)
                     equal += hit
-                    run = hit if i % rows == 0 else run & hit
-                    if i % rows == rows - 1 and i // rows < band:
-                        earlier |= run
+                    if i // rows < band:
+                        if i % rows == 0:
+                            run[:] = True
+                        run &= hit
+                        if i % rows == rows - 1:
+                            earlier |= run
                 share = equal / x.shape[1]
                 # a pair is reported by the first band it shares
                 keep = (share >= threshold) & ~earlier
