@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tablework.jobs.tables import table
-from tablework.jobs.texts import document_signatures
+from tablework.jobs.tables import table, with_int
+from tablework.jobs.texts import SIGNATURES_SQL, document_signatures
 from tablework.operators import clean
 from tablework.plans.staging import scratch_dir
 from tablework.sinks import write_delimited, write_vectors
@@ -59,14 +59,24 @@ def signature_lines(spark, folder):
     write_vectors(document_signatures(spark, folder), "sig", path)
     lines = spark.read.text(path).select(F.split("value", ",").alias("cells"))
     return lines.select(
-        F.size("cells").alias("values"), F.element_at("cells", 1).cast("bigint").alias("first")
+        F.size("cells").alias("n_values"),
+        F.element_at("cells", 1).cast("bigint").alias("first_value"),
     )
 
 
+LINES_SQL = f"""
+WITH {SIGNATURES_SQL} SELECT len(sig) AS n_values, sig[1] AS first_value FROM signatures
+"""
+
+
 QUERIES = {
     "delimited_roundtrip": delimited_roundtrip,
     "records_roundtrip": records_roundtrip,
     "signature_lines": signature_lines,
 }
 
-SQL = {"delimited_roundtrip": DELIMITED_SQL, "records_roundtrip": RECORDS_SQL}
+SQL = {
+    "delimited_roundtrip": DELIMITED_SQL,
+    "records_roundtrip": RECORDS_SQL,
+    "signature_lines": with_int(LINES_SQL, "n_values"),
+}

@@ -18,6 +18,12 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def with_int(sql: str, *columns: str) -> str:
+    """SQL whose given columns are 32-bit integers, as the query's are."""
+    casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
+
 def profile_numeric(spark, folder):
     out = profile.profile(table(spark, folder, "lineitem"), MEASURES)
     return rounded(out, 6, "mean", "stddev")
@@ -210,11 +216,13 @@ FROM lineitem GROUP BY l_returnflag
 
 def series_means(spark, folder):
     """Every user's events as wide series of two days, 144 slots of 20 minutes each."""
-    seconds = F.unix_timestamp(F.col("ts").cast("timestamp_ltz"))
+    day = F.datediff("ts", F.lit("1970-01-01"))
     slots = table(spark, folder, "events").select(
         "user_id",
-        F.floor(seconds / 172800).alias("span"),
-        (F.floor((seconds % 172800) / 1200) + 1).cast("int").alias("slot"),
+        F.floor(day / 2).alias("span"),
+        (day % 2 * 72 + F.hour("ts") * 3 + F.floor(F.minute("ts") / 20) + 1)
+        .cast("int")
+        .alias("slot"),
         F.lit(1).alias("one"),
     )
     wide = series.widen(slots, ["user_id", "span"], "slot", "one")

@@ -13,7 +13,7 @@ from tablework.functions.text import (
     letter_tokens,
     story_tokens,
 )
-from tablework.jobs.tables import table
+from tablework.jobs.tables import table, with_int
 from tablework.operators import lsh, minhash, sets
 from tablework.plans import spread, stage
 
@@ -128,6 +128,19 @@ def tokens_pages(spark, folder):
     return _token_lines(pages, "page_id", letter_tokens("html"))
 
 
+# The entities that occur in the pages.
+PAGES_SQL = f"""
+WITH decoded AS (SELECT page_id, regexp_replace(
+  replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'),
+  '&amp;?', '&', 'g') AS html FROM pages),
+tokens AS (SELECT page_id, list_filter(
+  list_transform(regexp_split_to_array(html, '{SPACE_RE}'),
+                 lambda t: trim(lower(t), {_quoted(TOKEN_EDGES)})),
+  lambda t: regexp_full_match(t, '\\p{{L}}{{1,26}}')) AS tokens FROM decoded)
+SELECT page_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS line FROM tokens
+"""
+
+
 def document_sets(spark, folder):
     documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return sets.shingle_sets(documents, "doc_id", "text", K)
@@ -224,6 +237,12 @@ def lsh_candidates(spark, folder):
 LSH_SQL = f"WITH {CANDIDATES_SQL} SELECT * FROM candidates"
 
 
+def lsh_candidates_blocks(spark, folder):
+    """The same pairs with all buckets of three and more compared block by block."""
+    groups = lsh.copy_groups(document_signatures(spark, folder), "doc_id")
+    return lsh.candidate_pairs(groups, BANDS, THRESHOLD, bucket_limit=3)
+
+
 def lsh_verified(spark, folder):
     pairs = stage(lsh_candidates(spark, folder), "pairs")
     return lsh.verified_pairs(pairs, table(spark, folder, "documents"), "doc_id", "text", K)
@@ -264,21 +283,24 @@ QUERIES = {
     "minhash_signature": minhash_signature,
     "signature_copies": signature_copies,
     "lsh_candidates": lsh_candidates,
+    "lsh_candidates_blocks": lsh_candidates_blocks,
     "lsh_verified": lsh_verified,
     "lsh_neighbours": lsh_neighbours,
 }
 
 SQL = {
-    "extract_blocks": EXTRACT_SQL,
-    "tokens_alpha": ALPHA_SQL,
-    "tokens_word": WORD_SQL,
-    "shingle_counts": COUNTS_SQL,
+    "extract_blocks": with_int(EXTRACT_SQL, "pos"),
+    "tokens_alpha": with_int(ALPHA_SQL, "n_tokens"),
+    "tokens_word": with_int(WORD_SQL, "n_tokens"),
+    "tokens_pages": with_int(PAGES_SQL, "n_tokens"),
+    "shingle_counts": with_int(COUNTS_SQL, "n"),
     "shingle_vocab": VOCAB_SQL,
     "shingle_matrix": SHINGLE_MATRIX_SQL,
-    "shingle_matrix_corner": CORNER_SQL,
-    "minhash_signature": SIGNATURE_SQL,
+    "shingle_matrix_corner": with_int(CORNER_SQL, "idx", "col"),
+    "minhash_signature": with_int(SIGNATURE_SQL, "i"),
     "signature_copies": COPIES_SQL,
     "lsh_candidates": LSH_SQL,
+    "lsh_candidates_blocks": LSH_SQL,
     "lsh_verified": VERIFIED_SQL,
     "lsh_neighbours": NEIGHBOURS_SQL,
 }

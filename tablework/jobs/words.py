@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablework.functions.text import day_of, words
-from tablework.jobs.tables import table
+from tablework.jobs.tables import table, with_int
 from tablework.operators import clean, cooccur, frequency
 from tablework.plans import spread
 from tablework.sinks.files import report_rows
@@ -164,11 +164,11 @@ QUERIES = {
 
 SQL = {
     "word_top_total": TOTAL_SQL,
-    "word_top_per_group": PER_GROUP_SQL,
-    "word_top_per_day": PER_DAY_SQL,
-    "word_top_first_groups": FIRST_GROUPS_SQL,
-    "word_report": REPORT_SQL,
-    "cooccurrence": COOCCURRENCE_SQL,
-    "cooccurrence_all_rows": ALL_ROWS_SQL,
-    "cooccurrence_matrix": MATRIX_SQL,
+    "word_top_per_group": with_int(PER_GROUP_SQL, "rank"),
+    "word_top_per_day": with_int(PER_DAY_SQL, "rank"),
+    "word_top_first_groups": with_int(FIRST_GROUPS_SQL, "rank"),
+    "word_report": with_int(REPORT_SQL, "rank"),
+    "cooccurrence": with_int(COOCCURRENCE_SQL, "r1", "r2"),
+    "cooccurrence_all_rows": with_int(ALL_ROWS_SQL, "r1", "r2"),
+    "cooccurrence_matrix": with_int(MATRIX_SQL, "rank"),
 }
