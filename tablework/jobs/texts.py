@@ -207,6 +207,18 @@ FROM v, d
 """
 
 
+def shingle_corner_lines(spark, folder):
+    """The corner with one row per shingle and one 0/1 column per document."""
+    return sets.corner_lines(shingle_matrix_corner(spark, folder), "doc_id", 100)
+
+
+CORNER_LINES_SQL = (
+    "SELECT idx, shingle, "
+    + ", ".join(f"max(present) FILTER (col = {i}) AS d{i}" for i in range(100))
+    + f" FROM ({CORNER_SQL}) GROUP BY idx, shingle"
+)
+
+
 def document_signatures(spark, folder):
     return minhash.text_signatures(table(spark, folder, "documents"), "doc_id", "text", FAMILY, K)
 
@@ -280,6 +292,7 @@ QUERIES = {
     "shingle_vocab": shingle_vocab,
     "shingle_matrix": shingle_matrix,
     "shingle_matrix_corner": shingle_matrix_corner,
+    "shingle_corner_lines": shingle_corner_lines,
     "minhash_signature": minhash_signature,
     "signature_copies": signature_copies,
     "lsh_candidates": lsh_candidates,
@@ -297,6 +310,7 @@ SQL = {
     "shingle_vocab": VOCAB_SQL,
     "shingle_matrix": SHINGLE_MATRIX_SQL,
     "shingle_matrix_corner": with_int(CORNER_SQL, "idx", "col"),
+    "shingle_corner_lines": with_int(CORNER_LINES_SQL, "idx"),
     "minhash_signature": with_int(SIGNATURE_SQL, "i"),
     "signature_copies": COPIES_SQL,
     "lsh_candidates": LSH_SQL,
