@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.llm.decontaminate import contamination, is_contaminated
 from tablework.llm.minhash import near_duplicates
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -45,5 +46,41 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM least_id LEFT JOIN sizes USING (doc_id)
 """
 
-QUERIES = {"op9_minhash_near_dedup": near_dups}
-SQL = {"op9_minhash_near_dedup": NEAR_DUPS_SQL}
+
+def decontaminated(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
+_WORDS = f"""regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+DECONTAMINATED_SQL = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents
+), items AS (SELECT item_id, w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS s, least(len(w), 13) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items)
+), starts AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), found AS (SELECT doc_id, item_id, i, n FROM starts JOIN windows USING (n, s)
+), hit AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+QUERIES = {"op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups}
+SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
