@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm.decontaminate import contamination, is_contaminated
+from tablework.llm.language import fit_languages, identify
 from tablework.llm.minhash import near_duplicates
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -15,6 +16,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(modulus: int, remainder: int):
+    """Whether the crc32 of the doc_id as text leaves ``remainder``; null ids are in no fold."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
+
+
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = fit_languages(docs.filter(~fold(5, 0)))
+    held_out = F.coalesce(fold(5, 0), F.lit(False)).alias("held_out")
+    return identify(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
 def near_dups(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), shingle=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -82,5 +95,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups}
+QUERIES = {"op4_language_mixture": languages, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups}
 SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
