@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablework.llm.decontaminate import contamination, is_contaminated
 from tablework.llm.language import fit_languages, identify
+from tablework.llm.linededup import dedup_lines
 from tablework.llm.minhash import near_duplicates
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -28,6 +29,11 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", held_out, "text"), model).drop("text")
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return dedup_lines(docs.select("doc_id", "text"))
+
+
 def near_dups(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), shingle=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -95,5 +101,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op4_language_mixture": languages, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups}
+QUERIES = {"op4_language_mixture": languages, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups}
 SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
