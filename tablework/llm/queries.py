@@ -9,6 +9,7 @@ from tablework.llm.decontaminate import contamination, is_contaminated
 from tablework.llm.language import fit_languages, identify
 from tablework.llm.linededup import dedup_lines
 from tablework.llm.minhash import near_duplicates
+from tablework.llm.pieces import read_model, tokenize
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -39,6 +40,18 @@ def near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = tokenize(docs, read_model())
+    return found.select(
+        "doc_id",
+        "n_pieces",
+        "pieces",
+        F.sha2(F.concat_ws(",", F.col("pieces").cast("array<string>")), 256).alias("pieces_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 NEAR_DUPS_SQL = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
@@ -101,5 +114,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op4_language_mixture": languages, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups}
+QUERIES = {"op4_language_mixture": languages, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
 SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
