@@ -10,6 +10,7 @@ from tablework.llm.language import fit_languages, identify
 from tablework.llm.linededup import dedup_lines
 from tablework.llm.minhash import near_duplicates
 from tablework.llm.pieces import read_model, tokenize
+from tablework.llm.ppm import score_texts
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -23,6 +24,11 @@ def fold(modulus: int, remainder: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
 
 
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return score_texts(docs.select("doc_id", "text", (~fold(7, 2)).alias("learn")))
+
+
 def languages(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = fit_languages(docs.filter(~fold(5, 0)))
@@ -114,5 +120,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op4_language_mixture": languages, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
+QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
 SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
