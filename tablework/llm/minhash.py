@@ -6,17 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm.text import LOWER, mix64, packed, sequences, slices, word_bounds, word_hashes
-from tablework.plans import join_by_count, join_lookup, stage
+from tablework.plans import block_cells, join_by_count, join_lookup, stage
 from tablework.plans.components import components
 
 #: Signature coordinates = BANDS * ROWS. A pair of similarity 0.8 shares no band with
 #: probability (1 - 0.8 ** 4) ** 32 < 5e-8.
 BANDS, ROWS = 32, 4
 
+#: Members of a bucket whose pairs are listed; larger buckets are compared in blocks of CELL_ROWS.
+LISTED, CELL_ROWS = 30, 1024
+
 
 def _mix32(x: np.ndarray) -> np.ndarray:
     """A permutation of the 32-bit numbers."""
@@ -111,6 +114,59 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _pairs_listed(rows: DataFrame, near: Column) -> DataFrame:
+    """The pairs of members of a bucket that lie in different components."""
+    other = rows.select(
+        "bucket", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("apart")
+    )
+    return (
+        rows.join(other, "bucket")
+        .filter((F.col("component") != F.col("apart")) & (F.col("node") < F.col("other")) & near)
+        .select(F.col("node").alias("a"), F.col("other").alias("b"))
+        .distinct()
+    )
+
+
+def _links_between(percent: int):
+    """A cell that compares all full sets of two blocks and returns links enough to connect
+    the components between which there are any: fewer than it has rows."""
+
+    def cell(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        links: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            left, right = left.combine_chunks(), right.combine_chunks()
+            sides = [(t["node"].to_numpy(), t["component"].to_numpy(), t["n"].to_numpy()) for t in (left, right)]
+            (node, own, n), (other, apart, m) = sides
+            lists = right["items"].chunk(0)
+            items = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(other)), np.diff(lists.offsets.to_numpy()))
+            order = np.argsort(items, kind="stable")
+            items, owner = items[order], owner[order]
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.get(x, x) != x:
+                    x = parent[x]
+                return x
+
+            for i, values in enumerate(left["items"].chunk(0)):
+                mine = values.values.to_numpy()
+                begin, end = np.searchsorted(items, mine, "left"), np.searchsorted(items, mine, "right")
+                width = end - begin
+                at = np.repeat(begin - (np.cumsum(width) - width), width) + np.arange(width.sum())
+                common = np.bincount(owner[at], minlength=len(other))
+                linked = (100 * common >= percent * (n[i] + m - common)) & (apart != own[i])
+                for j in np.flatnonzero(linked):
+                    x, y = root(int(own[i])), root(int(apart[j]))
+                    if x != y:
+                        parent[x] = y
+                        links.append((int(min(node[i], other[j])), int(max(node[i], other[j]))))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cell
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -132,9 +188,10 @@ def near_duplicates(
     Spark's xxhash64 of the text.
 
     Equal sets are one node, so a group of copies is one row from there on. In each band
-    bucket every member is compared with one hub (linear in the bucket), twice with
-    different hubs; only members of a bucket that still lie in different components are
-    then compared with each other, so no link between components is left out.
+    bucket every member is compared with one hub (linear in the bucket); only members of a
+    bucket that then still lie in different components are compared with each other, so no
+    link between components is left out: pair by pair in small buckets, in large ones block
+    by block inside the tasks, which return links enough to connect the components.
     Every comparison is made on the full sets, read again for candidates only.
     """
     rows_in = docs.select(
@@ -167,8 +224,7 @@ def near_duplicates(
         members.groupBy("band", "key")
         .agg(
             F.count("*").alias("members"),
-            F.min(F.struct("node", "n")).alias("hub_0"),
-            F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("hub_1"),
+            F.min(F.struct("node", "n")).alias("hub"),
         )
         .filter("members > 1"),
         "buckets",
@@ -188,50 +244,36 @@ def near_duplicates(
     )
     near = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
 
-    def to_hubs(rows: DataFrame, hub: str) -> DataFrame:
-        return (
-            rows.select("node", "n", F.col(f"{hub}.node").alias("other"), F.col(f"{hub}.n").alias("m"))
-            .filter((F.col("node") != F.col("other")) & near)
-            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-            .distinct()
-        )
-
-    links = stage(_verified(to_hubs(shared, "hub_0"), sets, percent), "verified")
+    to_hubs = (
+        shared.select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"))
+        .filter((F.col("node") != F.col("other")) & near)
+        .select(F.col("other").alias("a"), F.col("node").alias("b"))
+        .distinct()
+    )
+    links = stage(_verified(to_hubs, sets, percent), "verified")
     where = stage(components(links), "components")
-    open_rows = shared
-    for step in (1, 2):
-        placed = stage(
-            open_rows.drop("component")
-            .join(where, "node", "left")
-            .withColumn("component", F.coalesce("component", "node")),
-            "placed",
-        )
-        split = (
-            placed.groupBy("band", "key")
-            .agg(F.count("*").alias("left_over"), F.min("component").alias("c"), F.max("component").alias("d"))
-            .filter("c < d")
-            .drop("c", "d")
+    placed = stage(
+        shared.join(where, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
+    )
+    split = (
+        placed.groupBy("band", "key")
+        .agg(F.count("*").alias("left_over"), F.min("component").alias("c"), F.max("component").alias("d"))
+        .filter("c < d")
+        .drop("c", "d")
+    )
+    open_rows = stage(
+        join_by_count(placed, split, ["band", "key"], "left_over").withColumn("bucket", F.xxhash64("band", "key")), "open"
+    )
+    more = stage(_verified(_pairs_listed(open_rows.filter(F.col("left_over") <= LISTED), near), sets, percent), "verified")
+    large = open_rows.filter(F.col("left_over") > LISTED).select("bucket", "node", "component", "n")
+    if not large.isEmpty():
+        large = stage(large.join(sets, "node"), "large")
+        cells = block_cells(
+            large, large, "bucket", "node", _links_between(percent), "a long, b long", block_rows=CELL_ROWS, mirrored=True
         )
-        open_rows = stage(join_by_count(placed, split, ["band", "key"], "left_over").drop("left_over"), "open")
-        if open_rows.isEmpty():
-            break
-        if step == 1:
-            more = to_hubs(open_rows, "hub_1")
-        else:
-            other = open_rows.select(
-                "band", "key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("apart")
-            )
-            more = (
-                open_rows.join(other, ["band", "key"])
-                .filter((F.col("component") != F.col("apart")) & (F.col("node") < F.col("other")) & near)
-                .select(F.col("node").alias("a"), F.col("other").alias("b"))
-                .distinct()
-            )
-        more = stage(_verified(more, sets, percent), "verified")
-        if more.isEmpty():
-            continue
-        links = links.unionByName(more)
-        where = stage(components(links), "components")
+        more = more.unionByName(stage(cells.distinct(), "verified"))
+    if not more.isEmpty():
+        where = stage(components(links.unionByName(more)), "components")
     placed = classes.join(where, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     # of the rows with the component's id, the first in the tables is chosen
