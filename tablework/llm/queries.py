@@ -11,6 +11,7 @@ from tablework.llm.linededup import dedup_lines
 from tablework.llm.minhash import near_duplicates
 from tablework.llm.pieces import read_model, tokenize
 from tablework.llm.ppm import score_texts
+from tablework.llm.quality import fit_quality, score_quality
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -36,6 +37,13 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", held_out, "text"), model).drop("text")
 
 
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_quality(docs.filter(~fold(3, 1)), _table(spark, folder, "labels"))
+    held_out = F.coalesce(fold(3, 1), F.lit(False)).alias("held_out")
+    return score_quality(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return dedup_lines(docs.select("doc_id", "text"))
@@ -120,5 +128,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
+QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op6_quality_nbsvm": quality, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
 SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
