@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablework.llm.decontaminate import contamination, is_contaminated
 from tablework.llm.language import fit_languages, identify
 from tablework.llm.linededup import dedup_lines
+from tablework.llm.mih import nearest
 from tablework.llm.minhash import near_duplicates
 from tablework.llm.pieces import read_model, tokenize
 from tablework.llm.ppm import score_texts
@@ -37,6 +38,10 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", held_out, "text"), model).drop("text")
 
 
+def neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = fit_quality(docs.filter(~fold(3, 1)), _table(spark, folder, "labels"))
@@ -128,5 +133,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op6_quality_nbsvm": quality, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
+QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op5_multi_index_hashing": neighbours, "op6_quality_nbsvm": quality, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
 SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
