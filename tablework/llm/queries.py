@@ -10,9 +10,11 @@ from tablework.llm.language import fit_languages, identify
 from tablework.llm.linededup import dedup_lines
 from tablework.llm.mih import nearest
 from tablework.llm.minhash import near_duplicates
+from tablework.llm.packing import shard
 from tablework.llm.pieces import read_model, tokenize
 from tablework.llm.ppm import score_texts
 from tablework.llm.quality import fit_quality, score_quality
+from tablework.llm.warc import read_warc, scratch_folder, write_warc
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -42,6 +44,38 @@ def neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    found = shard(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_folder(spark)
+    write_warc(_table(spark, folder, "pages"), target)
+    found = read_warc(spark, target, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ARCHIVES_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages
+), d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest FROM p
+), k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM k
+"""
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = fit_quality(docs.filter(~fold(3, 1)), _table(spark, folder, "labels"))
@@ -133,5 +167,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op5_multi_index_hashing": neighbours, "op6_quality_nbsvm": quality, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
-SQL = {"op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
+QUERIES = {"op1_ppm_scores": lm_scores, "op4_language_mixture": languages, "op2_warc": archives, "op3_vector_bin_packing": shards, "op5_multi_index_hashing": neighbours, "op6_quality_nbsvm": quality, "op7_line_dedup": lines, "op8_benchmark_decontamination": decontaminated, "op9_minhash_near_dedup": near_dups, "op10_sentencepiece": pieces}
+SQL = {"op2_warc": ARCHIVES_SQL, "op8_benchmark_decontamination": DECONTAMINATED_SQL, "op9_minhash_near_dedup": NEAR_DUPS_SQL}
