@@ -161,11 +161,11 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
 
 def _join_lines(docs: DataFrame, lines: DataFrame, how: str) -> DataFrame:
     """(row, gone): each row of ``docs`` as a struct, with the array ``lines`` of the row of
-    ``lines`` (doc_id, text_hash, lines) of equal id and text. ``lines`` is broadcast if it
-    holds few line numbers."""
-    named = lines.select("doc_id", "text_hash", F.col("lines").alias("gone"))
-    total = named.agg(F.sum(F.size("gone") + 1).alias("n")).first()["n"] or 0
-    side = F.broadcast(named) if total <= BROADCAST_LINES else named.hint("merge")
+    ``lines`` (doc_id, text_hash, lines) of equal id and text. For an inner join ``lines`` is
+    broadcast if it holds few line numbers; else both sides are shuffled."""
+    side = lines.select("doc_id", "text_hash", F.col("lines").alias("gone"))
+    few = how == "inner" and (side.agg(F.sum(F.size("gone") + 1).alias("n")).first()["n"] or 0) <= BROADCAST_LINES
+    side = F.broadcast(side) if few else side.hint("merge")
     match = (F.xxhash64("row.text") == F.col("text_hash")) & F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
     return docs.select(F.struct(*docs.columns).alias("row")).join(side, match, how).select("row", "gone")
 
