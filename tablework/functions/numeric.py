@@ -19,8 +19,9 @@ def min_max(value: Column, low: Column, high: Column) -> Column:
 
 
 def pearson(a: str, b: str) -> Column:
-    """Sample correlation; null where a column does not vary."""
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+    """Sample correlation over the rows with both values; null where a column does not vary."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(x) * F.stddev_samp(y))
 
 
 def row_sum(columns: Sequence[str]) -> Column:

@@ -79,7 +79,13 @@ MINMAX_SQL = (
 
 
 def sample_rows(spark, folder):
-    return clean.sample_rows(table(spark, folder, "orders"), 0.01, 42)
+    return clean.sample_rows(table(spark, folder, "orders"), "o_orderkey", 0.01, 42)
+
+
+SAMPLE_SQL = f"""
+SELECT * FROM orders
+WHERE substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) < '{round(0.01 * 2**32):08x}'
+"""
 
 
 def union_sources(spark, folder):
@@ -158,12 +164,23 @@ WHERE r = 1
 
 
 def median_mode(spark, folder):
-    lines = table(spark, folder, "lineitem")
-    middle = profile.median(lines, MEASURES)
-    return middle.join(profile.mode(lines, MEASURES), "column_name")
+    """Also of a column that is null in most rows, and of one that is in all."""
+    lines = table(spark, folder, "lineitem").select(
+        *MEASURES,
+        F.when(F.col("l_discount") == 0.1, F.col("l_tax")).alias("some_tax"),
+        F.lit(None).cast("double").alias("no_tax"),
+    )
+    columns = [*MEASURES, "some_tax", "no_tax"]
+    return profile.median(lines, columns).join(profile.mode(lines, columns), "column_name")
 
 
-MEDIAN_MODE_SQL = " UNION ALL ".join(
+MEDIAN_MODE_SQL = """
+SELECT 'some_tax' AS column_name, median(l_tax) AS median,
+  (SELECT l_tax FROM lineitem WHERE l_discount = 0.1 GROUP BY l_tax ORDER BY count(*) DESC, l_tax LIMIT 1) AS mode,
+  (SELECT count(*) FROM lineitem WHERE l_discount = 0.1 GROUP BY l_tax ORDER BY count(*) DESC LIMIT 1) AS n
+FROM lineitem WHERE l_discount = 0.1
+UNION ALL SELECT 'no_tax', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 0
+UNION ALL """ + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, median({c}) AS median, "
     f"(SELECT {c} FROM lineitem GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS mode, "
     f"(SELECT count(*) FROM lineitem GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS n FROM lineitem"
@@ -172,13 +189,18 @@ MEDIAN_MODE_SQL = " UNION ALL ".join(
 
 
 def correlation(spark, folder):
-    lines = table(spark, folder, "lineitem")
-    return rounded(profile.correlation(lines, "l_quantity", "l_extendedprice"), 10, "corr")
+    """Of two columns with nulls in different rows."""
+    lines = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") != 1, F.col("l_quantity")).alias("quantity"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice")).alias("price"),
+    )
+    return rounded(profile.correlation(lines, "quantity", "price"), 10, "corr")
 
 
-CORRELATION_SQL = (
-    "SELECT count(*) AS n, round(corr(l_quantity, l_extendedprice), 10) AS corr FROM lineitem"
-)
+CORRELATION_SQL = """
+SELECT count(*) AS n, round(corr(l_quantity, l_extendedprice), 10) AS corr FROM lineitem
+WHERE l_linenumber <> 1 AND l_returnflag <> 'R'
+"""
 
 
 def argmax_label(spark, folder):
@@ -217,22 +239,33 @@ FROM lineitem GROUP BY l_returnflag
 def series_means(spark, folder):
     """Every user's events as wide series of two days, 144 slots of 20 minutes each."""
     day = F.datediff("ts", F.lit("1970-01-01"))
+    # pmod: days before 1970 are negative
     slots = table(spark, folder, "events").select(
         "user_id",
         F.floor(day / 2).alias("span"),
-        (day % 2 * 72 + F.hour("ts") * 3 + F.floor(F.minute("ts") / 20) + 1)
+        (F.pmod(day, F.lit(2)) * 72 + F.hour("ts") * 3 + F.floor(F.minute("ts") / 20) + 1)
         .cast("int")
         .alias("slot"),
         F.lit(1).alias("one"),
     )
     wide = series.widen(slots, ["user_id", "span"], "slot", "one")
-    return series.mean_popularity(wide, ["user_id", "span"]).orderBy("user_id", "span")
+    names = series.slot_names()
+    filled = F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(i + 1)) for i, c in enumerate(names)]), lambda x: x.isNotNull())
+    shape = wide.select(
+        "user_id", "span", F.array_join(filled.cast("array<string>"), ",").alias("slots"), F.greatest(*names).alias("largest")
+    )
+    means = series.mean_popularity(wide, ["user_id", "span"])
+    return means.join(shape, ["user_id", "span"]).orderBy("user_id", "span")
 
 
 SERIES_SQL = """
-SELECT user_id, CAST(floor(epoch(ts) / 172800) AS BIGINT) AS span,
-       count(*) / 48 AS per_hour, count(*) / 2 AS per_day
-FROM events GROUP BY ALL
+WITH s AS (
+  SELECT user_id, CAST(floor(epoch(ts) / 172800) AS BIGINT) AS span,
+         CAST(floor((epoch(ts) - 172800 * floor(epoch(ts) / 172800)) / 1200) AS BIGINT) + 1 AS slot, count(*) AS n
+  FROM events GROUP BY ALL)
+SELECT user_id, span, sum(n) / 48 AS per_hour, sum(n) / 2 AS per_day,
+       string_agg(CAST(slot AS VARCHAR), ',' ORDER BY slot) AS slots, CAST(max(n) AS BIGINT) AS largest
+FROM s GROUP BY user_id, span
 """
 
 QUERIES = {
@@ -257,6 +290,7 @@ SQL = {
     "cast_dropna": CAST_SQL,
     "rename_project": RENAME_SQL,
     "minmax_norm": MINMAX_SQL,
+    "sample_rows": SAMPLE_SQL,
     "union_sources": UNION_SQL,
     "row_counts": ROW_COUNTS_SQL,
     "value_counts": VALUE_COUNTS_SQL,

@@ -16,6 +16,7 @@ from tablework.functions.text import (
 from tablework.jobs.tables import table, with_int
 from tablework.operators import lsh, minhash, sets
 from tablework.plans import spread, stage
+from tablework.plans.components import components
 
 FAMILY = MinHashFamily(size=100, seed=7)
 BANDS, THRESHOLD, K = 20, 0.8, 5
@@ -73,7 +74,10 @@ found AS (SELECT DISTINCT x.rep AS a, y.rep AS b
 scored AS (SELECT a, b, list_sum(list_transform(range(1, 101), lambda i: CAST(x.sig[i] = y.sig[i] AS INTEGER)))
                         / 100 AS agreement
            FROM found JOIN groups x ON x.rep = a JOIN groups y ON y.rep = b),
-candidates AS MATERIALIZED (SELECT a, b, agreement FROM scored WHERE agreement >= {THRESHOLD})
+candidates AS MATERIALIZED (
+  SELECT a, b, agreement FROM scored WHERE agreement >= {THRESHOLD}
+  UNION ALL
+  SELECT x.rep, s.doc_id, 1.0 FROM signatures s JOIN groups x ON x.sig = s.sig AND x.rep <> s.doc_id)
 """
 
 
@@ -157,7 +161,7 @@ SELECT doc_id, count(shingle) AS n FROM documents LEFT JOIN shingles USING (doc_
 
 
 def shingle_vocab(spark, folder):
-    return sets.shingle_index(document_sets(spark, folder))
+    return sets.shingle_index(document_sets(spark, folder)).select("shingle", "idx")
 
 
 VOCAB_SQL = f"""
@@ -242,8 +246,8 @@ COPIES_SQL = f"WITH {GROUPS_SQL} SELECT doc_id, rep FROM signatures JOIN groups
 
 
 def lsh_candidates(spark, folder):
-    groups = lsh.copy_groups(document_signatures(spark, folder), "doc_id")
-    return lsh.candidate_pairs(groups, BANDS, THRESHOLD)
+    """Pairs of documents; a copy is paired with the first of its copies, which stands for it."""
+    return lsh.document_links(document_signatures(spark, folder), "doc_id", BANDS, THRESHOLD)
 
 
 LSH_SQL = f"WITH {CANDIDATES_SQL} SELECT * FROM candidates"
@@ -251,8 +255,8 @@ LSH_SQL = f"WITH {CANDIDATES_SQL} SELECT * FROM candidates"
 
 def lsh_candidates_blocks(spark, folder):
     """The same pairs with all buckets of three and more compared block by block."""
-    groups = lsh.copy_groups(document_signatures(spark, folder), "doc_id")
-    return lsh.candidate_pairs(groups, BANDS, THRESHOLD, bucket_limit=3)
+    signatures = document_signatures(spark, folder)
+    return lsh.document_links(signatures, "doc_id", BANDS, THRESHOLD, bucket_limit=3)
 
 
 def lsh_verified(spark, folder):
@@ -271,6 +275,23 @@ FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
 """
 
 
+def lsh_components(spark, folder):
+    """Every document with the smallest document that a chain of pairs leads to."""
+    links = components(stage(lsh_candidates(spark, folder), "pairs"))
+    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("node"))
+    return documents.join(links, "node", "left").select(
+        F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component")
+    )
+
+
+COMPONENTS_SQL = f"""
+WITH RECURSIVE {CANDIDATES_SQL},
+both_ways AS MATERIALIZED (SELECT a, b FROM candidates UNION SELECT b, a FROM candidates),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT x, b FROM reach JOIN both_ways ON y = a)
+SELECT x AS doc_id, min(y) AS component FROM reach GROUP BY x
+"""
+
+
 def lsh_neighbours(spark, folder):
     lists = lsh.neighbour_lists(stage(lsh_candidates(spark, folder), "pairs"))
     joined = F.array_join(F.transform("neighbours", lambda b: b.cast("string")), ",")
@@ -279,8 +300,9 @@ def lsh_neighbours(spark, folder):
 
 NEIGHBOURS_SQL = f"""
 WITH {CANDIDATES_SQL}
-SELECT a, 0 AS line, string_agg(CAST(b AS VARCHAR), ',' ORDER BY b) AS neighbours
-FROM candidates GROUP BY a
+SELECT a, CAST(line AS INTEGER) AS line, string_agg(CAST(b AS VARCHAR), ',' ORDER BY b) AS neighbours
+FROM (SELECT a, b, (row_number() OVER (PARTITION BY a ORDER BY b) - 1) // 1000 AS line FROM candidates)
+GROUP BY a, line
 """
 
 QUERIES = {
@@ -298,6 +320,7 @@ QUERIES = {
     "lsh_candidates": lsh_candidates,
     "lsh_candidates_blocks": lsh_candidates_blocks,
     "lsh_verified": lsh_verified,
+    "lsh_components": lsh_components,
     "lsh_neighbours": lsh_neighbours,
 }
 
@@ -316,5 +339,6 @@ SQL = {
     "lsh_candidates": LSH_SQL,
     "lsh_candidates_blocks": LSH_SQL,
     "lsh_verified": VERIFIED_SQL,
+    "lsh_components": COMPONENTS_SQL,
     "lsh_neighbours": NEIGHBOURS_SQL,
 }

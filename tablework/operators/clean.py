@@ -58,9 +58,17 @@ def normalise(df: DataFrame, columns: Sequence[str], prefix: str = "norm_") -> D
     )
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Random sample without replacement."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """Sample without replacement: the rows whose key hashes below ``fraction``.
+
+    The digest of seed and key decides, so a row is in or out however the table is
+    split, and rows with equal keys go together. A null key counts as empty text.
+    """
+    if fraction >= 1:
+        return df
+    below = f"{max(0, round(fraction * 2**32)):08x}"
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    return df.filter(F.substring(F.md5(text), 1, 8) < below)
 
 
 def stack_tables(tables: Sequence[DataFrame]) -> DataFrame:

@@ -43,9 +43,9 @@ def top_per_group(counts: DataFrame, group: str, item: str, n: int = 100) -> Dat
 
 
 def first_groups(ranked: DataFrame, group: str, take: int) -> DataFrame:
-    """All rows of the first ``take`` groups by group value."""
-    groups = ranked.select(group).distinct().orderBy(group).limit(take)
-    return ranked.join(F.broadcast(groups), group, "left_semi")
+    """All rows of the first ``take`` groups by group value; a null group comes first."""
+    groups = ranked.select(F.col(group).alias("_group")).distinct().orderBy("_group").limit(take)
+    return ranked.join(F.broadcast(groups), F.col(group).eqNullSafe(F.col("_group")), "left_semi")
 
 
 def top_value_per_group(df: DataFrame, group: str, value: str) -> DataFrame:

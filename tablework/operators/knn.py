@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from tablework.functions.hashing import SignPlanes, sign_buckets
 from tablework.plans import block_cells, stage
 
 _SCORES = 1 << 21  # similarities held at once inside a cell
+_FEW_BUCKETS = 1 << 17  # bucket sizes that may be broadcast unseen
 _DIGITS = 9  # similarities are compared after rounding, so ties do not hang on float noise
 
 
@@ -49,6 +51,8 @@ MEASURES = {"cosine": _cosine, "jaccard": _jaccard, "agreement": _agreement}
 
 def _matrix(side: pa.Table, measure: str) -> np.ndarray:
     cells = side.column("vec").combine_chunks()
+    if len(pc.unique(pc.list_value_length(cells))) > 1 or cells.flatten().null_count:
+        raise ValueError("vectors differ in length or have null cells")
     flat = cells.flatten().to_numpy(zero_copy_only=False)
     kind = flat.dtype if measure == "agreement" else np.float64
     return flat.reshape(len(cells), -1).astype(kind)
@@ -111,13 +115,15 @@ def exact_neighbours(
 ) -> DataFrame:
     """``(query, rank, neighbour, similarity)`` by linear search; ``(id, vec)`` on both sides.
 
-    Equal similarities are ranked by id. The search compares blocks of rows, and
-    only ``k`` rows per query leave a cell. It is quadratic by definition.
+    Equal similarities are ranked by id. Rows without a vector take no part; vectors of
+    different lengths, or with null cells, are an error. The search compares blocks of
+    rows, and only ``k`` rows per query leave a cell. It takes queries x rows comparisons:
+    it is for a query side that does not grow with the table.
     """
     everything = F.lit(0).alias("bucket")
     scored = block_cells(
-        queries.select("id", "vec", everything),
-        rows.select("id", "vec", everything),
+        queries.filter(F.col("vec").isNotNull()).select("id", "vec", everything),
+        rows.filter(F.col("vec").isNotNull()).select("id", "vec", everything),
         "bucket",
         "id",
         _nearest(measure, k, with_self),
@@ -147,12 +153,12 @@ def approximate_neighbours(
     """Like ``exact_neighbours``, among rows on the same side of all planes of some table.
 
     A bucket that holds a large share of the rows is cut into blocks like the
-    whole table in the exact search.
+    whole table in the exact search. Rows without a vector take no part. The sizes of
+    the buckets are broadcast if there can be only few, else joined.
     """
-    if planes.planes > 16:
-        raise ValueError("at most 16 planes per table: the buckets of a table are counted")
-    placed = stage(bucketed(rows.select("id", "vec"), planes), "buckets")
-    asked = placed if queries is rows else bucketed(queries.select("id", "vec"), planes)
+    known = F.col("vec").isNotNull()
+    placed = stage(bucketed(rows.filter(known).select("id", "vec"), planes), "buckets")
+    asked = placed if queries is rows else bucketed(queries.filter(known).select("id", "vec"), planes)
     scored = block_cells(
         asked,
         placed,
@@ -161,7 +167,7 @@ def approximate_neighbours(
         _nearest(measure, k, with_self),
         _SCORED,
         block_rows,
-        few_groups=True,
+        few_groups=planes.tables << planes.planes <= _FEW_BUCKETS,
     )
     # several tables may find the same neighbour
     return _best(scored.groupBy("query", "neighbour").agg(F.max("similarity").alias("similarity")), k)

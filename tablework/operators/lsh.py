@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.hashing import agreement, band_keys
 from tablework.operators.sets import shingle_sets
-from tablework.plans import block_cells, join_by_count, stage
+from tablework.plans import block_cells, join_by_count, running_total, stage
 
 _SCORES = 1 << 18  # comparisons held at once inside a cell
 
@@ -197,16 +197,28 @@ def verified_pairs(
 
 
 def neighbour_lists(pairs: DataFrame, line_length: int = 1000) -> DataFrame:
-    """``(a, line, neighbours)``: the partners ``b > a`` of every ``a``, in id order per line.
+    """``(a, line, neighbours)``: the partners ``b > a`` of every ``a`` in id order, ``line_length``
+    to a line, so no row grows without bound. Lines are numbered from 0."""
+    ones = pairs.select("a", "b", F.lit(1).alias("_one"))
+    placed = running_total(ones, "a", [F.col("b")], "_one", "_place")
+    line = F.floor((F.col("_place") - 1) / line_length).cast("int")
+    return placed.groupBy("a", line.alias("line")).agg(F.sort_array(F.collect_list("b")).alias("neighbours"))
 
-    A document with more than about ``line_length`` partners gets several lines,
-    its partners being dealt to them by hash, so no row grows without bound.
+
+def copy_pairs(members: DataFrame, row_id: str) -> DataFrame:
+    """``(a, b, agreement)``: every copy with its representative, from ``copy_members``."""
+    copies = members.filter(F.col(row_id) != F.col("rep"))
+    return copies.select(F.col("rep").alias("a"), F.col(row_id).alias("b"), F.lit(1.0).alias("agreement"))
+
+
+def document_links(signatures: DataFrame, row_id: str, bands: int = 20, threshold: float = 0.8, **limits: int) -> DataFrame:
+    """``(a, b, agreement)`` over all documents: the candidate pairs of representatives, and
+    every copy with its representative.
+
+    A group of copies makes one pair per copy; all pairs of its members, and of members
+    of two linked groups, follow by joining ``copy_members`` on both sides.
     """
-    degrees = pairs.groupBy("a").agg(F.count("*").alias("_degree"))
-    lines = F.ceil(F.col("_degree") / line_length)
-    return (
-        join_by_count(pairs, degrees, ["a"], "_degree")
-        .withColumn("line", F.pmod(F.xxhash64("b"), lines).cast("int"))
-        .groupBy("a", "line")
-        .agg(F.sort_array(F.collect_list("b")).alias("neighbours"))
-    )
+    signatures = stage(signatures, "signatures")
+    groups = copy_groups(signatures, row_id)
+    links = candidate_pairs(groups, bands, threshold, **limits)
+    return links.unionByName(copy_pairs(copy_members(signatures, groups, row_id), row_id))

@@ -41,7 +41,7 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact median of every column as ``(column_name, median)``.
+    """Exact median of every column as ``(column_name, median)``; null for a column of nulls.
 
     A sketch gives, in one scan, bounds that surely enclose the middle ranks.
     The second scan counts the values between the bounds one by one and all
@@ -59,8 +59,10 @@ def median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ],
     ).first()
     filled = [i for i in range(len(columns)) if found[f"n_{i}"]]
+    blank = [(c,) for i, c in enumerate(columns) if i not in filled]
+    blank = df.sparkSession.createDataFrame(blank, "column_name string").withColumn("median", F.lit(None).cast("double"))
     if not filled:
-        return df.sparkSession.createDataFrame([], "column_name string, median double")
+        return blank
 
     def per_column(values: dict[int, float | int]) -> Column:
         choice = F
@@ -86,21 +88,22 @@ def median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
     middle = (value_at(lower) + value_at(upper)) / 2
-    return ranked.groupBy("column_name").agg(
+    found = ranked.groupBy("column_name").agg(
         F.coalesce(middle, F.raise_error(F.lit("median outside its bracket")).cast("double")).alias(
             "median"
         )
     )
+    return found.unionByName(blank)
 
 
 def mode(df: DataFrame, columns: Sequence[str], type_name: str = "double") -> DataFrame:
-    """Most frequent value of every column, the smallest one on a tie: ``(column_name, mode, n)``."""
-    counts = (
-        by_column(df, columns, type_name)
-        .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    """Most frequent value of every column, the smallest one on a tie: ``(column_name, mode, n)``.
+
+    A column of nulls has the mode null with 0 rows. ``type_name`` holds the values: take
+    "decimal(38,0)" for bigints above 2^53.
+    """
+    counts = by_column(df, columns, type_name).groupBy("column_name", "value").agg(F.count("value").alias("n"))
+    # nulls are counted as 0 and so come last
     first = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value")))
     return counts.groupBy("column_name").agg(first.alias("top")).select(
         "column_name", F.col("top.value").alias("mode"), (-F.col("top.rank")).alias("n")
@@ -116,16 +119,18 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
 def arg_max(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """For every column the label of its largest value: ``(column_name, label, value)``.
 
-    On a tie the largest label wins. All columns share one aggregate.
+    On a tie the largest label wins; a column of nulls has neither label nor value. All
+    columns share one aggregate; values are compared in their own type.
     """
     rows = []
     for c in columns:
-        best = F.max(F.struct(F.col(c).cast("double").alias("value"), F.col(label).alias("label")))
+        pair = F.struct(F.col(c).alias("value"), F.col(label).alias("label"))
+        best = F.max(F.when(F.col(c).isNotNull(), pair))
         rows.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 best["label"].alias("label"),
-                best["value"].alias("value"),
+                best["value"].cast("double").alias("value"),
             )
         )
     known = df.select(label, *columns)

@@ -20,8 +20,13 @@ def slot_names(slots: int = 144, prefix: str = "TS") -> list[str]:
 
 
 def widen(df: DataFrame, keys: Sequence[str], slot: str, value: str, slots: int = 144) -> DataFrame:
-    """One row per series with a column per slot number 1..slots; empty slots are 0."""
+    """One row per series with a column per slot number 1..slots; empty slots are 0.
+
+    A value in a slot outside that range, or in none, is an error: it has no column.
+    """
     names = slot_names(slots)
+    outside = F.concat(F.lit(f"no slot from 1 to {slots}: "), F.coalesce(F.col(slot).cast("string"), F.lit("null")))
+    df = df.withColumn(slot, F.when(F.col(slot).between(1, slots), F.col(slot)).otherwise(F.raise_error(outside)))
     wide = df.groupBy(*keys).pivot(slot, list(range(1, slots + 1))).agg(F.sum(value))
     return wide.toDF(*keys, *names).fillna(0, subset=names)
 

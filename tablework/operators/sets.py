@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.text import letter_tokens, shingles
-from tablework.plans import dense_index, join_lookup, unnest
+from tablework.plans import dense_index, join_by_count, unnest
 
 
 def shingle_sets(df: DataFrame, row_id: str, text: str, k: int = 5, tokens=letter_tokens) -> DataFrame:
@@ -15,22 +15,23 @@ def shingle_sets(df: DataFrame, row_id: str, text: str, k: int = 5, tokens=lette
 
 
 def shingle_vocabulary(sets: DataFrame) -> DataFrame:
-    """Every shingle that occurs anywhere, once: ``(shingle)``."""
-    return unnest(sets.select("shingles"), "shingles", "shingle").distinct()
+    """Every shingle that occurs anywhere, once, with the number of its rows: ``(shingle, n)``."""
+    return unnest(sets.select("shingles"), "shingles", "shingle").groupBy("shingle").agg(F.count("*").alias("n"))
 
 
 def shingle_index(sets: DataFrame) -> DataFrame:
-    """Vocabulary numbered from 0 in text order: ``(shingle, idx)``."""
+    """Vocabulary numbered from 0 in text order: ``(shingle, n, idx)``."""
     return dense_index(shingle_vocabulary(sets), "shingle", "idx")
 
 
 def shingle_matrix(sets: DataFrame, row_id: str, index: DataFrame) -> DataFrame:
     """The ones of the 0/1 matrix: ``(row_id, idx)``.
 
-    Swapping the two columns is the transposed matrix.
+    Swapping the two columns is the transposed matrix. A shingle of very many rows
+    is joined in place, see ``join_by_count``.
     """
     ones = unnest(sets.select(row_id, "shingles"), "shingles", "shingle")
-    return join_lookup(ones, index, "shingle").select(row_id, "idx")
+    return join_by_count(ones, index, ["shingle"], "n").select(row_id, "idx")
 
 
 def matrix_corner(
@@ -43,9 +44,9 @@ def matrix_corner(
     only those leave a row; nothing is numbered beyond the corner.
     """
     first = shingle_sets(df, row_id, text, k, tokens).select(
-        F.slice(F.array_sort("shingles"), 1, n).alias("shingles")
+        F.slice(F.sort_array("shingles"), 1, n).alias("shingles")
     )
-    shingle = shingle_vocabulary(first).orderBy("shingle").limit(n)
+    shingle = shingle_vocabulary(first).select("shingle").orderBy("shingle").limit(n)
     rows = df.select(row_id, text).orderBy(row_id).limit(n)
     rows = shingle_sets(rows, row_id, text, k, tokens)
     by_text, by_id = Window.orderBy("shingle"), Window.orderBy(row_id)

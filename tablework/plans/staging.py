@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Folders made for local sessions, by application.
+_own: dict[str, str] = {}
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one behind ``spark.checkpoint.dir``.
 
-    A folder on this machine is made only where nothing is set and the session
-    is local, as in tests.
+    Only a local session where nothing is set, as in tests, gets a folder on this
+    machine, which is deleted at exit. The session's settings are not touched.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="tablework-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return f"{folder}/staged-{context.applicationId}"
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="tablework-")
+        atexit.register(shutil.rmtree, _own[context.applicationId], ignore_errors=True)
+    return _own[context.applicationId]
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; results that still read them are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -31,7 +43,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     The table outlives lost executors, later reads take only the columns they
     need, and its size on disk tells the planner whether a join may broadcast
-    it (``spark.sql.autoBroadcastJoinThreshold``) or has to shuffle.
+    it (``spark.sql.autoBroadcastJoinThreshold``) or has to shuffle. It stays until
+    ``drop_staged``.
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -50,7 +63,7 @@ def unnest(df: DataFrame, array: str | Column, out: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one split per core.
+    """Give a scan with fewer splits than cores one split per core, by a shuffle.
 
     For scans that feed heavy per-row work. A table of normal size has more
     splits than the cluster has cores and is returned as it is.

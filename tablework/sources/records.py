@@ -14,16 +14,18 @@ def read_records(
     opening: str = "<BODY>",
     closing: str = "</BODY>",
     encoding: str = "ISO-8859-1",
-    stride: int = 10000,
+    stride: int | None = None,
 ) -> DataFrame:
-    """Texts between two markers as ``(path, file_no, pos, doc_id, text)``.
+    """Texts between two markers as ``(path, pos, text)``: path and position identify a record.
+
+    With a ``stride`` also ``(file_no, doc_id)``: the last number in the path, and
+    ``file_no * stride + pos``. Files with equal numbers, or with ``stride`` records and
+    more, are then an error, as their ids would clash.
 
     The closing marker is the line separator, so a large file is split like any
     line file and no task holds a whole one. The bytes are decoded after the
     split. ``pos`` counts the records of a file: rows are numbered inside a
     split, and the number of records in the earlier splits of the file is added.
-    ``file_no`` is the last number in the file name, ``doc_id`` is
-    ``file_no * stride + pos``.
     """
     pieces = (
         spark.read.option("lineSep", closing)
@@ -65,16 +67,19 @@ def read_records(
         .join(placed, ["path", "_split"])
         .filter(~F.equal_null("_at", "_open"))
     )
-    file_no = F.element_at(F.regexp_extract_all("path", F.lit("[0-9]+"), 0), -1).cast("bigint")
     pos = F.col("_before") + F.col("_pos")
-    checked = F.when(
-        pos < stride, F.coalesce(file_no, F.lit(0)) * stride + pos
-    ).otherwise(F.raise_error(F.concat(F.lit("more records than the stride in "), F.col("path"))))
     start = F.instr("_piece", opening) + len(opening)
-    return records.select(
-        "path",
-        file_no.alias("file_no"),
-        pos.alias("pos"),
-        checked.alias("doc_id"),
-        F.substring("_piece", start, F.length("_piece")).alias("text"),
+    text = F.substring("_piece", start, F.length("_piece")).alias("text")
+    if stride is None:
+        return records.select("path", pos.alias("pos"), text)
+    file_no = F.element_at(F.regexp_extract_all("path", F.lit("[0-9]+"), 0), -1).cast("bigint")
+    # one row per file
+    same = Window.partitionBy("_number")
+    files = splits.select("path").distinct().withColumn("_number", F.coalesce(file_no, F.lit(0)))
+    files = files.select("path", F.col("_number").alias("file_no"), F.count("*").over(same).alias("_files"))
+    checked = (
+        F.when(F.col("_files") > 1, F.raise_error(F.concat(F.lit("other files have the number of "), F.col("path"))))
+        .when(pos >= stride, F.raise_error(F.concat(F.lit("more records than the stride in "), F.col("path"))))
+        .otherwise(F.col("file_no") * stride + pos)
     )
+    return records.join(files, "path").select("path", "file_no", pos.alias("pos"), checked.alias("doc_id"), text)

@@ -76,6 +76,29 @@ def test_recall(vectors, spark):
     assert tuple(knn.recall(exact, nothing).first()) == (360, 0, 0.0)
 
 
-def test_too_many_planes_are_refused(vectors):
-    with pytest.raises(ValueError):
-        knn.approximate_neighbours(vectors[1], vectors[1], SignPlanes(planes=17, dim=8))
+def test_any_number_of_planes(vectors):
+    data, df = vectors
+    planes = SignPlanes(planes=20, tables=2, dim=8, seed=5)
+    sides = {i: planes.normals @ v > 0 for i, v in data.items()}
+    share = lambda q, c: bool((sides[q] == sides[c]).all(axis=1).any())
+    got = knn.approximate_neighbours(df, df, planes, 3, "agreement")
+    assert found(got) == best(data, data, 3, agreement, share)
+
+
+def test_rows_without_a_vector_change_nothing(vectors, spark):
+    data, df = vectors
+    more = df.unionByName(spark.createDataFrame([(500 + i, None) for i in range(9)], df.schema))
+    for block_rows in (4096, 17):
+        got = knn.exact_neighbours(more, more, 3, "agreement", block_rows=block_rows)
+        assert found(got) == best(data, data, 3, agreement)
+    planes = SignPlanes(planes=3, tables=2, dim=8, seed=5)
+    assert found(knn.approximate_neighbours(more, more, planes, 3)) == found(knn.approximate_neighbours(df, df, planes, 3))
+
+
+@pytest.mark.parametrize("odd", [[1.0] * 3 + [2.0] * 2, [None] + [1.0] * 7])
+def test_vectors_that_do_not_fit_are_an_error(vectors, spark, odd):
+    _, df = vectors
+    # lengths that would add up to whole rows again
+    more = df.unionByName(spark.createDataFrame([(500, odd), (501, [1.0] * (16 - len(odd)))], df.schema))
+    with pytest.raises(Exception, match="differ in length"):
+        knn.exact_neighbours(more, more, 3).collect()

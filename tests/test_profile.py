@@ -35,13 +35,15 @@ def test_median_is_exact(numbers, spark, count):
     rows, _ = numbers
     part = spark.createDataFrame(rows[:count], "a double, b double")
     found = {r.column_name: r.median for r in profile.median(part, ["a", "b"]).collect()}
-    want = {c: np.median(x) for c, x in columns(rows[:count]).items() if len(x)}
+    want = {c: np.median(x) if len(x) else None for c, x in columns(rows[:count]).items()}
     assert found == want
 
 
 def test_median_of_nothing(spark):
     empty = spark.createDataFrame([(None,)], "a double")
-    assert profile.median(empty, ["a"]).collect() == []
+    assert [tuple(r) for r in profile.median(empty, ["a"]).collect()] == [("a", None)]
+    assert [tuple(r) for r in profile.mode(empty, ["a"]).collect()] == [("a", None, 0)]
+    assert [tuple(r) for r in profile.arg_max(empty.selectExpr("a", "'x' as l"), "l", ["a"]).collect()] == [("a", None, None)]
 
 
 def test_mode_takes_the_smallest_on_a_tie(spark):
@@ -61,6 +63,21 @@ def test_correlation_against_numpy_and_the_sum_formula(spark):
     assert found == pytest.approx(by_sums)
 
 
+def test_correlation_skips_rows_with_a_null(spark):
+    rows = [(1.0, 2.0), (2.0, 3.9), (3.0, 6.1), (None, 900.0), (-700.0, None)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    want = np.corrcoef([1, 2, 3], [2, 3.9, 6.1])[0, 1]
+    found = profile.correlation(df, "x", "y").first()
+    assert (found["n"], found["corr"]) == (3, pytest.approx(want))
+
+
+def test_modes_above_two_to_the_53(spark):
+    df = spark.createDataFrame([(2**60 + 1,), (2**60 + 1,), (2**60,)], "a bigint")
+    assert int(profile.mode(df, ["a"], "decimal(38,0)").first()["mode"]) == 2**60 + 1
+    two = spark.createDataFrame([(2**60 + 1, "x"), (2**60, "y")], "a bigint, l string")
+    assert profile.arg_max(two, "l", ["a"]).first()["label"] == "x"
+
+
 def test_correlation_with_a_constant_column_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert profile.correlation(df, "x", "y").first()["corr"] is None

@@ -76,7 +76,7 @@ def test_records_between_markers(spark, tmp_path, split_bytes):
     try:
         if split_bytes:
             spark.conf.set(conf, split_bytes)
-        rows = read_records(spark, str(tmp_path / "news-*.sgm")).collect()
+        rows = read_records(spark, str(tmp_path / "news-*.sgm"), stride=10000).collect()
     finally:
         spark.conf.set(conf, before)
     assert {r.doc_id: r.text for r in rows} == want
@@ -87,5 +87,16 @@ def test_records_between_markers(spark, tmp_path, split_bytes):
 def test_file_ending_with_the_marker_keeps_its_last_record(spark, tmp_path):
     (tmp_path / "n-1.sgm").write_text("<BODY>one</BODY><BODY>two</BODY>")
     (tmp_path / "n-2.sgm").write_text("no marker at all")
-    rows = read_records(spark, str(tmp_path / "n-*.sgm")).collect()
+    rows = read_records(spark, str(tmp_path / "n-*.sgm"), stride=10).collect()
     assert {(r.file_no, r.pos, r.text) for r in rows} == {(1, 0, "one"), (1, 1, "two")}
+
+
+def test_files_with_equal_numbers(spark, tmp_path):
+    for name in ("a-7.sgm", "b-7.sgm"):
+        (tmp_path / name).write_text("<BODY>one</BODY><BODY>two</BODY>")
+    rows = read_records(spark, str(tmp_path)).collect()
+    assert len({(r.path, r.pos) for r in rows}) == len(rows) == 4
+    with pytest.raises(Exception, match="other files have the number"):
+        read_records(spark, str(tmp_path), stride=100).collect()
+    with pytest.raises(Exception, match="more records than the stride"):
+        read_records(spark, str(tmp_path / "a-7.sgm"), stride=1).collect()
