@@ -16,7 +16,7 @@ from tablework.plans import stage
 #: Bytes of context.
 ORDER = 5
 #: The most frequent n-grams and words that every task holds; the others are joined.
-HOT_GRAMS, HOT_WORDS = 1 << 20, 1 << 17
+HOT_GRAMS, HOT_WORDS = 1 << 19, 1 << 17
 
 # Symbols: bytes plus one, and 0 for what stands before and at the end of a text.
 _SYMBOL_BITS, _SYMBOLS = 9, 257
@@ -137,6 +137,14 @@ class PPM:
             .agg(F.sum("n").alias("t"), F.count("*").alias("d"), F.sum("outer").alias("e")),
             "contexts",
         )
+        # a gram that occurs needs no shorter context
+        full = self.contexts.filter(F.col("j") == order).select("context", "t")
+        self.seen = stage(
+            self.top.withColumn("context", F.shiftright("gram", _SYMBOL_BITS))
+            .join(full, "context")
+            .select("gram", "n", F.log10((2 * F.col("n") - 1) / (2 * F.col("t"))).alias("score")),
+            "seen",
+        )
 
     def gram_scores(self, grams: DataFrame) -> DataFrame:
         """(gram, score): log10 of the probability of the last symbol of each distinct gram."""
@@ -174,25 +182,17 @@ class PPM:
 
     def frequent(self, most: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``most`` most frequent grams and their scores, in the order of the grams."""
-        best = stage(self.top.orderBy(F.desc("n"), "gram").limit(most), "frequent")
-        context = F.shiftright("gram", _SYMBOL_BITS)
-        own = self.contexts.filter(F.col("j") == self.order).select("context", "t")
-        table = (
-            best.withColumn("context", context)
-            .join(own, "context")
-            .select("gram", F.log10((2 * F.col("n") - 1) / (2 * F.col("t"))).alias("score"))
-            .toArrow()
-        )
+        table = self.seen.orderBy(F.desc("n"), "gram").limit(most).select("gram", "score").toArrow()
         grams, scores = table["gram"].to_numpy(), table["score"].to_numpy()
         order = np.argsort(grams)
         return grams[order], scores[order]
 
 
 class _Table:
-    """Numbers by key, for many lookups: open addressing with a quarter of the places in use."""
+    """Numbers by key, for many lookups: open addressing with half of the places free."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(4 * len(keys) + 1).bit_length())
+        self.bits = max(4, int(2 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
         self.values = np.zeros(1 << self.bits)
         rest, at = np.arange(len(keys)), self._home(keys)
@@ -326,7 +326,8 @@ def score_texts(
         )
     )
     other_grams = scored.filter("gram is not null").select("rid", "gram", "n")
-    gram_scores = stage(model.gram_scores(other_grams.select("gram").distinct()), "gram_scores")
+    unseen = other_grams.select("gram").distinct().join(model.seen.hint("merge"), "gram", "left_anti")
+    gram_scores = model.seen.select("gram", "score").unionByName(stage(model.gram_scores(unseen), "gram_scores"))
     other_grams = other_grams.join(gram_scores.hint("merge"), "gram").select(
         "rid", F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("score")).alias("score")
     )
