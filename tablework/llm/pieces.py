@@ -21,7 +21,7 @@ _BLANK, _OWN_BLANK = 0x2581, 0x110001
 # Penalty of an unknown character below the worst piece, as in SentencePiece.
 _UNKNOWN = 10.0
 _SALT = np.uint64(0x6C62272E07BB0142)
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 
 
 @dataclass
