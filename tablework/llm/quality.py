@@ -16,7 +16,7 @@ from tablework.llm.text import packed, slices, word_bounds, word_hashes
 BITS = 18
 GRAM = 4
 #: The classifier is fitted on at most so many labelled rows, those of the smallest hashes.
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 #: Pseudo-count, cost of an error, passes over the rows.
 PSEUDO, COST, PASSES = 1.0, 1.0, 12
 
@@ -62,27 +62,25 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
-def _train(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
-    """(weights, bias): dual coordinate descent on rows that hold both labels."""
-    size, n, positive = 1 << BITS, len(labels), int(labels.sum())
-    row = np.repeat(np.arange(n), np.diff(offsets))
-    good = labels[row] == 1
-    p = np.bincount(features[good], minlength=size) + PSEUDO
-    q = np.bincount(features[~good], minlength=size) + PSEUDO
+def _train(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray, some: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
+    """(weights, bias): dual coordinate descent on the rows ``some``, which hold both labels."""
+    size, n, positive = 1 << BITS, len(some), int(labels[some].sum())
+    p, q = np.full(size, PSEUDO), np.full(size, PSEUDO)
+    for i in some:
+        (p if labels[i] == 1 else q)[features[offsets[i] : offsets[i + 1]]] += 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     y = np.where(labels == 1, 1.0, -1.0)
     cost = np.where(labels == 1, COST * n / (2 * positive), COST * n / (2 * (n - positive)))
     scale = 1 / np.sqrt(np.maximum(np.diff(offsets), 1))
-    square = np.bincount(row, ratio[features] ** 2, n) * scale**2 + 1
-    weights, bias, dual = np.zeros(size), 0.0, np.zeros(n)
+    weights, bias, dual = np.zeros(size), 0.0, np.zeros(len(labels))
     rng = np.random.default_rng(seed)
     for _ in range(PASSES):
         most = 0.0
-        for i in rng.permutation(n):
+        for i in rng.permutation(some):
             own = features[offsets[i] : offsets[i + 1]]
             values = ratio[own] * scale[i]
             slope = y[i] * (weights[own] @ values + bias) - 1
-            new = min(max(dual[i] - slope / square[i], 0.0), cost[i])
+            new = min(max(dual[i] - slope / (values @ values + 1), 0.0), cost[i])
             step = (new - dual[i]) * y[i]
             if step:
                 weights[own] += step * values
@@ -111,12 +109,6 @@ def _odds(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _rows(features: np.ndarray, offsets: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = np.diff(offsets)[some]
-    at = np.concatenate([[0], np.cumsum(n)])
-    return features[np.repeat(offsets[some] - at[:-1], n) + np.arange(at[-1])], at
-
-
 def fit(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> QualityModel:
     """Rows are indicators times the log ratio of the classes' counts, over the root of their
     number. The dual of the hinge loss is raised one row at a time; errors in the rarer
@@ -128,14 +120,13 @@ def fit(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> Qualit
     if positive in (0, n):
         share = (positive + 1) / (n + 2)
         return QualityModel(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
-    weights, bias = _train(features, offsets, labels)
-    fifth = np.arange(n) % 5 == 0
+    every, fifth = np.arange(n), np.arange(n) % 5 == 0
+    weights, bias = model = _train(features, offsets, labels, every)
+    tried = every
     if 0 < labels[~fifth].sum() < (~fifth).sum() and 0 < labels[fifth].sum() < fifth.sum():
-        model = _train(*_rows(features, offsets, np.flatnonzero(~fifth)), labels[~fifth])
-        tried = np.flatnonzero(fifth)
-    else:
-        model, tried = (weights, bias), np.arange(n)
-    margin = QualityModel(*model, 1.0, 0.0).margins(*_rows(features, offsets, tried))
+        model, tried = _train(features, offsets, labels, every[~fifth]), every[fifth]
+    rows = [features[offsets[i] : offsets[i + 1]] for i in tried]
+    margin = np.array([model[0][own].sum() / np.sqrt(max(len(own), 1)) + model[1] for own in rows])
     return QualityModel(weights, bias, *_odds(margin, labels[tried]))
 
 
