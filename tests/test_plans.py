@@ -72,3 +72,23 @@ def test_join_by_count_with_a_hot_key(spark):
     some = counts.filter("n = 1")
     assert join_by_count(left, some, ["k"], "n").count() == 4000 - sizes["hot"]
     assert join_by_count(left, counts.filter("false"), ["k"], "n").count() == 0
+
+
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    from tablework.plans import staging
+
+    monkeypatch.setattr(staging, "scratch_dir", lambda session: f"file://{tmp_path}/scratch")
+    assert staging.stage(spark.range(3), "numbers").count() == 3
+    assert any((tmp_path / "scratch").iterdir())
+    staging.drop_staged(spark)
+    assert not (tmp_path / "scratch").exists()
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    from tablework.plans.components import components
+
+    edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(300, 300), (301, 302), (302, 301)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {i: 0 for i in range(41)} | {i: 100 for i in [100, *range(200, 230)]} | {301: 301, 302: 301}
+    assert {r.node: r.component for r in components(df).collect()} == want
+    assert components(df.limit(0)).collect() == []
