@@ -20,7 +20,7 @@ HOT_GRAMS, HOT_WORDS = 1 << 19, 1 << 17
 
 # Symbols: bytes plus one, and 0 for what stands before and at the end of a text.
 _SYMBOL_BITS, _SYMBOLS = 9, 257
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 
 
 def text_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
