@@ -49,8 +49,9 @@ def fit_codes(vectors: np.ndarray, k: int, bits: int = BITS, rounds: int = 20, s
     center = unit.mean(axis=0)
     shifted = unit - center
     dimension = unit.shape[1]
-    _, _, axes = np.linalg.svd(shifted, full_matrices=True)
-    axes = axes[: min(dimension, bits)].T
+    # the principal axes, the widest first
+    _, axes = np.linalg.eigh(shifted.T @ shifted)
+    axes = axes[:, ::-1][:, : min(dimension, bits)]
     parts, made = [], 0
     while made < bits:
         rotation, _ = np.linalg.qr(rng.normal(size=(axes.shape[1], axes.shape[1])))
