@@ -17,7 +17,7 @@ from tablework.plans import block_cells, stage
 BITS, SUBSTRING = 256, 16
 #: The rotations and the radius are fitted on at most so many vectors; so many of them are
 #: tried as queries, and the radius holds this share of their neighbours.
-FIT_ROWS, TRIED, COVERED = 20_000, 256, 0.985
+FIT_ROWS, TRIED, COVERED = 20_000, 256, 0.995
 BLOCK_ROWS = 16_384
 
 
