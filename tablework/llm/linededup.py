@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from tablework.llm.text import mix64, packed, powers, slices
 from tablework.plans import join_by_count, join_lookup, stage
 
-#: Shorter lines are left alone.
+#: Shorter lines are not compared with one edit.
 MIN_CHARS = 10
+#: Characters of blank lines (the White_Space of Unicode).
+BLANK = np.array([*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 #: Line numbers that may be broadcast (a few bytes each).
 BROADCAST_LINES = 500_000
 
@@ -60,6 +62,15 @@ class _Lines:
         """Two 64-bit hashes of each line."""
         return [mix64(self.spans(self.starts[rows], self.ends[rows], k)).view(np.int64) for k in (0, 1)]
 
+    def short(self, at_least: int, below: int) -> np.ndarray:
+        """The lines of these lengths that are not blank."""
+        rows = np.flatnonzero((self.lengths >= at_least) & (self.lengths < below))
+        inked = np.zeros(len(rows), dtype=bool)
+        for k in range(below - 1):
+            there = self.lengths[rows] > k
+            inked[there] |= ~np.isin(self.codes[self.starts[rows[there]] + k], BLANK)
+        return rows[inked]
+
     def window_keys(self, rows: np.ndarray, windows: int) -> np.ndarray:
         """(rows, 2, windows) keys: hashes of a line without its q-th window.
 
@@ -93,26 +104,27 @@ class _Lines:
         return out
 
 
-def _lists(keys: np.ndarray) -> pa.Array:
-    flat = keys.reshape(len(keys), -1)
-    width = flat.shape[1]
-    return pa.ListArray.from_arrays(
-        np.arange(0, len(flat) * width + 1, width, dtype=np.int32), pa.array(flat.view(np.int64).ravel())
-    )
+def _lists(keys: np.ndarray, empty: int = 0) -> pa.Array:
+    """A list for each row of keys, then ``empty`` lists without any."""
+    width = keys.shape[1] * keys.shape[2]
+    flat = keys.reshape(len(keys), width)
+    offsets = np.minimum(np.arange(len(flat) + empty + 1) * width, len(flat) * width).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64).ravel()))
 
 
-def _occurrences(min_chars: int):
+def _occurrences(min_chars: int, exact_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 lines = _Lines(batch.column("text"))
-                rows = np.flatnonzero(lines.lengths >= min_chars)
+                close, alone = np.flatnonzero(lines.lengths >= min_chars), lines.short(exact_chars, min_chars)
+                rows = np.concatenate([close, alone])
                 text = pa.array(lines.text[rows])
                 a, b = lines.names(rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(a), pa.array(b), batch.column("doc_id").take(text), batch.column("text_hash").take(text),
-                        pa.array(lines.number[rows].astype(np.int32)), _lists(lines.window_keys(rows, _COARSE)),
+                        pa.array(lines.number[rows].astype(np.int32)), _lists(lines.window_keys(close, _COARSE), len(alone)),
                     ],
                     names=["a", "b", "doc_id", "text_hash", "line", "keys"],
                 )
@@ -175,14 +187,16 @@ def _first() -> Column:
     return F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash", "line")
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers (from 0) of the lines that go, for documents
     that lose any.
 
     A line goes if an earlier line equals it or is one character inserted, deleted or
     replaced away. Lines are what newlines part; earlier means a smaller doc_id (null
     last; then the smaller xxhash64 of the text), then a smaller line number. Rows equal
-    in id and text count as one. Lines of fewer than ``min_chars`` characters stay.
+    in id and text count as one. Lines of fewer than ``min_chars`` characters go only if an
+    earlier line equals them, they have ``exact_chars`` (by default ``min_chars``) characters
+    or more, and are not blank: short lines of white space part paragraphs and stay.
 
     Equal lines are counted first, so a frequent line is one row from there on. Lines one
     edit apart agree outside a window that holds the edit; only lines that agree with
@@ -196,7 +210,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     rows = rows.filter(F.col("text").isNotNull())
     seen = stage(
         rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-            _occurrences(min_chars), "a long, b long, doc_id long, text_hash long, line int, keys array<long>"
+            _occurrences(min_chars, min_chars if exact_chars is None else exact_chars), "a long, b long, doc_id long, text_hash long, line int, keys array<long>"
         ),
         "lines",
     )
@@ -258,7 +272,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return stage(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("lines")), "gone")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """``docs`` with ``text`` without the lines that ``dropped_lines`` names, and n_lines,
     n_dropped and dropped (their numbers, sorted). Null texts stay null, with no lines; an
     empty text is one empty line. Columns of these names are replaced; others stay, whatever
@@ -266,7 +280,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_dropped", "dropped")
     own = docs.columns
-    found = _join_lines(docs, dropped_lines(docs, min_chars), "left")
+    found = _join_lines(docs, dropped_lines(docs, min_chars, exact_chars), "left")
     lines, gone = F.split("row.text", "\n", -1), F.col("gone")
     rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
     text = F.when(gone.isNull(), F.col("row.text")).otherwise(rest).alias("text")

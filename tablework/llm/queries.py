@@ -85,7 +85,7 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return dedup_lines(docs.select("doc_id", "text"))
+    return dedup_lines(docs.select("doc_id", "text"), exact_chars=1)
 
 
 def near_dups(spark: SparkSession, folder: str) -> DataFrame:

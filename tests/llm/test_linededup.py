@@ -3,6 +3,7 @@ import random
 import pytest
 
 from tablework.llm.linededup import dedup_lines, dropped_lines
+from tablework.llm.queries import QUERIES
 
 
 def distance_at_most_one(a: str, b: str) -> bool:
@@ -79,3 +80,45 @@ def test_one_line_in_every_document(spark):
     df = spark.createDataFrame([(i, f"the same line in all\n{i}") for i in range(3000)], "doc_id long, text string")
     rows = dedup_lines(df).collect()
     assert {(r.doc_id, r.n_dropped) for r in rows} == {(i, int(i > 0)) for i in range(3000)}
+
+
+def test_exact_repeats_of_short_lines(spark):
+    docs = [(1, "Les.\n\n  \nab\nLes."), (2, "Les.\n\n  \nab"), (3, "Lez.\nab \n日本"), (4, "日本\n\u3000\nLes.\na line of some length"), (5, "\u3000\na line of some lengths\nb"), (None, "b\nLes.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.dropped) for r in dedup_lines(df, exact_chars=1).collect()}
+    assert found == {
+        1: ("Les.\n\n  \nab", [4]),
+        2: ("\n  ", [0, 3]),
+        3: ("Lez.\nab \n日本", []),  # one edit does not count here
+        4: ("\u3000\na line of some length", [0, 2]),
+        5: ("\u3000\nb", [1]),
+        None: ("", [0, 1]),
+    }
+
+
+def test_short_lines_against_all_pairs(spark, documents):
+    """What brute() keeps, without later copies of lines under ten characters that are not blank."""
+    seen, want = set(), {}
+    for (doc_id, before), text in brute(documents).items():
+        kept = []
+        for line in text.split("\n"):
+            if len(line) >= 10 or not line.strip() or line not in seen:
+                kept.append(line)
+            seen.add(line)
+        want[doc_id, before] = kept
+    df = spark.createDataFrame([(d, t) for d, t in documents], "doc_id long, text string")
+    rows = dedup_lines(df.withColumn("_lines", df.text), exact_chars=1).collect()
+    assert len(rows) == len(documents)
+    for r in rows:
+        if r["_lines"] is not None:
+            lines = r["_lines"].split("\n")
+            kept = [line for i, line in enumerate(lines) if i not in r.dropped]
+            assert r.n_dropped == len(r.dropped) == len(lines) - len(kept)
+            assert r.text == "\n".join(kept) == "\n".join(want[r.doc_id, r["_lines"]])
+
+
+def test_query_drops_short_repeats(spark, tmp_path):
+    docs = [(i, f"Les.\n\nthe {i}th document has a line of its own, {'abc' * i}") for i in range(5)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, tuple(r.dropped)) for r in rows} == {(i, (0,) if i else ()) for i in range(5)}
