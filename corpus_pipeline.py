@@ -30,8 +30,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that came before (n_chars follows); a document that has none left goes."""
-    found = dedup_lines(docs).filter((F.col("n_dropped") == 0) | (F.col("n_dropped") < F.col("n_lines")))
+    """Texts without lines that came before (n_chars follows); a document that has none left but blank ones goes."""
+    found = dedup_lines(docs, exact_chars=1).filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"(?U)\S"))
     n_chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return found.withColumn("n_chars", n_chars).select(docs.columns)
 

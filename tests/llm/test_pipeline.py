@@ -86,6 +86,14 @@ def test_every_stage(spark, folder):
     assert sorted((str(r.doc_id), r.pieces) for r in found) == sorted((str(r.doc_id), r.pieces) for r in last)
 
 
+def test_copies_with_short_or_blank_lines_go(spark):
+    story = "the first line of a story\nLes.\n\nthe last line of a story"
+    texts = [(1, story), (2, story), (3, "Les.\n \u3000"), (4, "Les.\nMore."), (5, None), (None, story)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in texts], SCHEMA)
+    found = corpus_pipeline.lines(spark, docs, "").collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in found} == {(1, story, len(story)), (4, "More.", 5), (5, None, 0)}
+
+
 def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
