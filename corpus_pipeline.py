@@ -15,7 +15,6 @@ from tablework.llm.language import fit_languages, identify
 from tablework.llm.linededup import dedup_lines
 from tablework.llm.minhash import near_duplicates
 from tablework.llm.pieces import read_model, tokenize
-from tablework.llm.queries import fold
 from tablework.plans import stage
 
 #: A document goes if its languages explain less than this share of it.
@@ -24,8 +23,7 @@ LEAST_KNOWN = 0.25
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the languages of the labels: not ``und``, and not mostly background."""
-    model = fit_languages(docs.filter(~fold(5, 0)))
-    found = identify(docs, model)
+    found = identify(docs, fit_languages(docs))
     return found.filter((F.col("lang_pred") != "und") & (F.col("known") >= LEAST_KNOWN)).select(docs.columns)
 
 

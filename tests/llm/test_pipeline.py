@@ -2,6 +2,7 @@
 
 import random
 import sys
+from zlib import crc32
 
 import pytest
 from sentencepiece import SentencePieceProcessor
@@ -94,6 +95,16 @@ def test_copies_with_short_or_blank_lines_go(spark):
     assert {(r.doc_id, r.text, r.n_chars) for r in found} == {(1, story, len(story)), (4, "More.", 5), (5, None, 0)}
 
 
+def test_languages_are_learned_from_all_labelled_rows(spark):
+    rng = random.Random(8)
+    held_out = [i for i in range(400) if crc32(str(i).encode()) % 5 == 0][:30]
+    rows = [(i, text(rng, "de", 30), "de") for i in held_out] + [(None, text(rng, "fr", 30), "fr") for _ in range(30)]
+    rows += [(i, text(rng, "en", 30), "en") for i in range(400, 430)]
+    docs = spark.createDataFrame([(d, t, lang, "s", len(t)) for d, t, lang in rows], SCHEMA)
+    found = corpus_pipeline.language(spark, docs, "").collect()
+    assert sorted(map(str, found)) == sorted(map(str, docs.collect()))
+
+
 def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
