@@ -63,7 +63,7 @@ def _product(block_sources: int, key: tuple, rows: pa.Table, groups: pa.Table) -
     number, least = number[order], least[order]
     names = groups["source"].take(pa.array(order))
     coded = pa.array(rows["term"].combine_chunks(), pa.string()).dictionary_encode()
-    place, many = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    place = coded.indices.to_numpy().astype(np.int64)
     at, p = np.searchsorted(number, rows["number"].to_numpy()), rows["p"].to_numpy()
     # per source: the level of each term, and the share of each level; level 0 is count 0
     by_source = np.argsort(at, kind="stable")
@@ -72,7 +72,8 @@ def _product(block_sources: int, key: tuple, rows: pa.Table, groups: pa.Table) -
     for g in range(len(number)):
         own = by_source[cuts[g] : cuts[g + 1]]
         values, level = np.unique(p[own], return_inverse=True)
-        column = np.zeros(many, dtype=np.int64)
+        # terms that none of these sources has are rows as well
+        column = np.zeros(groups["terms"][0].as_py(), dtype=np.int64)
         column[place[own]] = level + 1
         levels.append(column)
         shares.append(np.concatenate([least[g : g + 1], values]))
@@ -125,7 +126,7 @@ def divergences(
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).filter(F.col("docs") >= LEAST_DOCS)
     kept = stage(kept.drop("docs"), "kept")
     matrix = stage(counts.drop("docs").join(kept, ["lang", "term"]), "matrix")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("V"), F.sum("lang_n").alias("lang_total"))
+    langs = stage(kept.groupBy("lang").agg(F.count("*").alias("V"), F.sum("lang_n").alias("lang_total")), "langs")
     totals = matrix.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     # sources are numbered within their lang
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
@@ -156,6 +157,9 @@ def divergences(
         ),
         "entries",
     )
+    term_block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
+    per_block = join_lookup(kept, langs.select("lang", F.ceil(F.col("V") / block_terms).cast("int").alias("blocks")), ["lang"])
+    per_block = per_block.groupBy("lang", term_block).agg(F.count("*").alias("terms"))
     own = F.floor(F.col("number") / block_sources).cast("int")
 
     def cells(side: DataFrame) -> DataFrame:
@@ -166,11 +170,12 @@ def divergences(
         )
 
     keys = ["lang", "block", "i", "j"]
-    left = cells(entries.withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))).select(
+    left = cells(entries.select("*", term_block)).select(
         *keys, "term", F.col("number").cast("long"), "p"
     )
-    right = cells(groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))).select(
-        *keys, "source", F.col("number").cast("long"), F.col("p_zero").cast("long")
+    every = groups.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    right = cells(every.join(per_block, ["lang", "block"], "left")).select(
+        *keys, "source", F.col("number").cast("long"), F.col("p_zero").cast("long"), F.coalesce("terms", F.lit(0)).alias("terms")
     )
     # a closure, so that the tasks see the size of the blocks
     product = lambda key, rows, sources: _product(block_sources, key, rows, sources)
