@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from tablework.llm import packing
-from tablework.llm.packing import pack, shard
+from tablework.llm.packing import pack, shard, trim
 
 
 def test_pack_by_hand():
@@ -13,6 +13,42 @@ def test_pack_by_hand():
     assert pack(sizes, 2).tolist() == [0, 1, 1, 0]
 
 
+def test_pack_equals_a_plain_loop():
+    rng = np.random.default_rng(3)
+    sizes = rng.lognormal(3, 1, (300, 3)).astype(int).astype(float)
+    total, bins = sizes.sum(axis=0).tolist(), 5
+    share = [[float(x) / t * bins for x, t in zip(row, total)] for row in sizes]
+    left, want = [[1.0] * 3 for _ in range(bins)], [None] * len(share)
+    for i in sorted(range(len(share)), key=lambda i: (-sum(share[i]), i)):
+        fit = [sum(a * b for a, b in zip(room, share[i])) for room in left]
+        want[i] = fit.index(max(fit))
+        left[want[i]] = [a - b for a, b in zip(left[want[i]], share[i])]
+    assert pack(sizes, bins).tolist() == want
+
+
+def test_trim_equals_a_plain_search():
+    rng = np.random.default_rng(4)
+    sizes, place = rng.integers(1, 50, (40, 3)).astype(float), rng.integers(0, 4, 40)
+    fixed = rng.integers(100, 900, (4, 3)).astype(float)
+
+    def totals(where):
+        return fixed + np.array([sizes[where == b].sum(axis=0) for b in range(4)])
+
+    def cost(where):
+        t = totals(where)
+        return (((t - t.mean(axis=0)) / t.mean(axis=0)) ** 2 * [1000, 1, 100]).sum()
+
+    want = place.copy()
+    while True:
+        moves = [(cost(np.where(np.arange(40) == i, b, want)), i, b) for i in range(40) for b in range(4) if b != want[i]]
+        least, i, b = min(moves)
+        if least >= cost(want) - 1e-11:
+            break
+        want[i] = b
+    got = trim(sizes, place, totals(place))
+    assert abs(cost(got) - cost(want)) < 1e-9 and cost(got) <= cost(place)
+
+
 def test_shards(spark, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK_GROUPS", 64)
     rng = np.random.default_rng(1)
@@ -33,7 +69,10 @@ def test_shards(spark, monkeypatch):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     table = np.array(list(sums.values()))
     assert (table[:, 0].max() - table[:, 0].min()) / table[:, 0].mean() < 0.07
-    assert (np.ptp(table, axis=0) / table.mean(axis=0) < 0.4).all()
+    # one row has most of a shard's tokens: what it has beyond its share by bytes stays
+    spread = np.ptp(table, axis=0) / table.mean(axis=0)
+    heavy = 5000 - 10_001 * table[:, 1].sum() / table[:, 0].sum()
+    assert spread[0] < 0.01 and spread[2] < 0.1 and spread[1] < heavy / table[:, 1].mean() + 0.1
     assert sorted(Counter(len(s) for s in groups.values()))[0] == 1 and sum(len(s) > 1 for s in groups.values()) <= 1
     again = shard(df.repartition(5)).collect()
     assert Counter(again) == Counter(rows)
