@@ -21,7 +21,9 @@ _BLANK, _OWN_BLANK = 0x2581, 0x110001
 # Penalty of an unknown character below the worst piece, as in SentencePiece.
 _UNKNOWN = 10.0
 _SALT = np.uint64(0x6C62272E07BB0142)
-_SLICE = 2 << 20
+_SLICE = 512 << 10
+#: Look-ups of pieces that are held at once, for words of one length.
+_LOOKUPS = 1 << 18
 
 
 @dataclass
@@ -42,11 +44,6 @@ class PieceModel:
     splits: bool
 
 
-def _span(sums: np.ndarray, down: np.ndarray, i: int, j: int) -> np.ndarray:
-    """Hashes of columns i to j of rows of codes with the prefix sums ``sums``."""
-    return mix64((sums[:, j] - sums[:, i]) * down[i] + np.uint64(j - i))
-
-
 def _sums(codes: np.ndarray) -> np.ndarray:
     up, _ = powers(codes.shape[1] + 1)
     sums = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64)
@@ -77,7 +74,7 @@ def read_model(path: str = MODEL_FILE) -> PieceModel:
             out.append(" ⁇ ".encode())
         else:
             codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32)[None, :]
-            keys.append(_span(_sums(codes), powers(len(piece) + 1)[1], 0, len(piece))[0])
+            keys.append(mix64(_sums(codes)[:, -1] + np.uint64(len(piece)))[0])
             ids.append(i)
             scores.append(model.get_score(i))
             lengths.add(len(piece))
@@ -104,25 +101,33 @@ def _viterbi(model: PieceModel, codes: np.ndarray) -> np.ndarray:
     best = np.full((size + 1, n), -np.inf)
     best[0] = 0
     back, token = np.zeros((size + 1, n), dtype=np.int32), np.zeros((size + 1, n), dtype=np.int64)
-    for end in range(1, size + 1):
-        for length in reversed(model.lengths):
-            start = end - length
-            if start < 0:
-                continue
-            key = _span(sums, down, start, end)
-            at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
-            score = np.where(model.keys[at] == key, best[start] + model.scores[at], -np.inf)
-            better = score > best[end]
-            best[end][better] = score[better]
-            back[end][better] = start
-            token[end][better] = at[better]
-        score = best[end - 1] + model.unknown_score
-        better = score > best[end]
-        best[end][better] = score[better]
-        back[end][better] = end - 1
-        token[end][better] = -1 - codes[better, end - 1].astype(np.int64)
+    lengths = np.array(model.lengths[::-1])
+    # the pieces that end at a run of places are looked up together, then sums advance place by place
+    step, rows = max(1, _LOOKUPS // (n * len(lengths))), np.arange(n)
+    for first in range(1, size + 1, step):
+        ends = np.arange(first, min(first + step, size + 1))
+        score = np.full((len(lengths), len(ends), n), -np.inf)
+        at = np.zeros(score.shape, dtype=np.int32)
+        for k, length in enumerate(lengths):
+            can = ends >= length
+            if can.any():
+                last = ends[can]
+                key = mix64((sums[:, last] - sums[:, last - length]) * down[last - length] + np.uint64(length)).T
+                found = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
+                at[k, can] = found
+                score[k, can] = np.where(model.keys[found] == key, model.scores[found], -np.inf)
+        for i, end in enumerate(ends):
+            # the longest piece comes first and wins among equals; places before the word have no score
+            sums_here = best[np.maximum(end - lengths, 0)] + score[:, i]
+            k = sums_here.argmax(axis=0)
+            top = sums_here[k, rows]
+            lone = best[end - 1] + model.unknown_score
+            known = top >= lone
+            best[end] = np.where(known, top, lone)
+            back[end] = np.where(known, end - lengths[k], end - 1)
+            token[end] = np.where(known, at[k, i, rows], -1 - codes[:, end - 1].astype(np.int64))
     out = np.full((n, size), np.iinfo(np.int64).min)
-    place, rows, step = np.full(n, size), np.arange(n), size - 1
+    place, step = np.full(n, size), size - 1
     while len(rows):
         out[rows, step] = token[place, rows]
         place = back[place, rows]
@@ -165,7 +170,7 @@ def encode_texts(model: PieceModel, texts: pa.Array) -> tuple[np.ndarray, np.nda
     parts = []
     for length in np.unique(lengths):
         rows = np.flatnonzero(lengths == length)
-        most = max(1, (1 << 20) // int(length))
+        most = max(1, (1 << 18) // int(length))
         for i in range(0, len(rows), most):
             some = rows[i : i + most]
             found = _viterbi(model, codes[starts[some][:, None] + np.arange(length)])

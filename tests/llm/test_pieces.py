@@ -71,3 +71,15 @@ def test_table(spark, model):
         assert row.n_pieces == len(row.pieces or [])
     assert [r for r in out if r.text is None][0].pieces is None
     assert tokenize(df.limit(0), model).collect() == []
+
+
+def test_long_unbroken_words(model):
+    import time
+
+    draw = random.Random(8)
+    word = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/", k=200_000))
+    start = time.time()
+    ids, offsets = encode_texts(model, pa.array([word, word[:3000]]))
+    assert time.time() - start < 10
+    assert decode_pieces(model, ids, offsets).to_pylist() == [word, word[:3000]]
+    assert ids[offsets[1] :].tolist() == brute(word[:3000])
