@@ -20,7 +20,7 @@ HOT_GRAMS, HOT_WORDS = 1 << 19, 1 << 17
 
 # Symbols: bytes plus one, and 0 for what stands before and at the end of a text.
 _SYMBOL_BITS, _SYMBOLS = 9, 257
-_SLICE = 2 << 20
+_SLICE = 512 << 10
 
 
 def text_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +87,7 @@ def _gram_counts(order: int):
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 8 * _SLICE):
+        for batch in slices(whole, "text", 32 * _SLICE):
             words, _ = text_words(batch.column("text"))
             counts = pc.value_counts(words)
             yield pa.RecordBatch.from_arrays(

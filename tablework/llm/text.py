@@ -19,7 +19,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes of text worked on at a time; a longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -83,13 +83,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
+def _power_table(base: np.uint64, n: int) -> np.ndarray:
+    made = np.full(n, base, dtype=np.uint64)
+    made[:1] = 1
+    return np.multiply.accumulate(made)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(base ** i, base ** -i) for i below ``n``, modulo 2 ** 64."""
+    """(base ** i, base ** -i) for i below ``n``, modulo 2 ** 64. Kept for the size of a slice; those
+    of a longer text are not."""
+    if n > 2 * SLICE_BYTES:
+        return _power_table(_BASE, n), _power_table(_BASE_INVERSE, n)
     if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            made = np.full(max(n, SLICE_BYTES), base, dtype=np.uint64)
-            made[0] = 1
-            _powers[k] = np.multiply.accumulate(made)
+        _powers[:] = [_power_table(base, 2 * SLICE_BYTES) for base in (_BASE, _BASE_INVERSE)]
     return _powers[0][:n], _powers[1][:n]
 
 
