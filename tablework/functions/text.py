@@ -81,3 +81,12 @@ def shingles(tokens: Column, k: int = 5) -> Column:
     """
     pattern = f"(?s)(?=(.{{{k}}}))."
     return F.array_distinct(F.regexp_extract_all(F.array_join(tokens, " "), F.lit(pattern), 1))
+
+
+def word_runs(tokens: Column, k: int = 5) -> Column:
+    """Distinct runs of ``k`` words, each as the hash of its words; fewer words have none.
+
+    ``tokens`` should be a column, not an expression: it is looked at once per run."""
+    starts = F.sequence(F.lit(1), F.size(tokens) - (k - 1))
+    runs = F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, F.lit(k))))
+    return F.array_distinct(F.when(F.size(tokens) >= k, runs).otherwise(F.array().cast("array<bigint>")))
