@@ -7,11 +7,14 @@ indicator columns of all (group, level), multiplied by their transpose, hold all
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablework.llm.text import LOWER, packed, slices, word_bounds
 from tablework.plans import join_lookup, stage
 
 #: Documents of a language that must have a term, and the unit of a share.
@@ -19,14 +22,48 @@ LEAST_DOCS, UNIT = 10, 1_000_000_000
 #: Terms, and sources on either side, of one product.
 BLOCK_TERMS, BLOCK_SOURCES = 4096, 64
 
-# All ASCII characters but letters.
-_APART = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of text whose terms a task counts at a time.
+_SLICE = 4 << 20
+
+# All ASCII characters but letters lie between terms.
+APART = np.arange(256) < 128
+APART[[*range(65, 91), *range(97, 123)]] = False
+
+
+def term_counts(langs: pa.Array, sources: pa.Array, texts: pa.Array) -> pa.Table:
+    """(lang, source, term, n, docs) of some rows: how often a group has a term, and in how many texts.
 
+    Terms are runs of letters and non-ASCII characters, only A-Z lower-cased.
+    """
+    data, offsets = packed(texts)
+    data = LOWER[data]
+    starts, ends, first = word_bounds(data, offsets, APART)
+    places = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(data[~APART[data]])).dictionary_encode()
+    many = max(len(found.dictionary), 1)
+    doc = np.repeat(np.arange(len(texts)), np.diff(first))
+    in_doc, n = np.unique(doc * many + found.indices.to_numpy(), return_counts=True)
+    lang, source = (x.dictionary_encode() for x in (langs, sources))
+    group = lang.indices.to_numpy().astype(np.int64) * max(len(source.dictionary), 1) + source.indices.to_numpy()
+    cells, cell = np.unique(group[in_doc // many] * many + in_doc % many, return_inverse=True)
+    lang_at, source_at = np.divmod(cells // many, max(len(source.dictionary), 1))
+    # sums below 2^53, so exact
+    sums = np.bincount(cell, weights=n, minlength=len(cells)).astype(np.int64)
+    return pa.table(
+        {
+            "lang": lang.dictionary.take(pa.array(lang_at)),
+            "source": source.dictionary.take(pa.array(source_at)),
+            "term": found.dictionary.take(pa.array(cells % many)),
+            "n": pa.array(sums),
+            "docs": pa.array(np.bincount(cell, minlength=len(cells))),
+        }
+    )
 
-def terms(text: Column) -> Column:
-    """Runs of letters and non-ASCII characters, only A-Z lower-cased."""
-    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _APART), "")
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text", _SLICE):
+            yield from term_counts(*[batch.column(c) for c in ("lang", "source", "text")]).to_batches()
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -97,14 +134,9 @@ def counts_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     (occurrences) and docs (documents with the term). Added up per task before the shuffle."""
     clean = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
     groups = stage(docs.select(*clean).distinct(), "groups")
-    sorted_terms = F.sort_array(terms(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    # in order, so that the first of equal terms is known
-    first = F.transform(
-        F.col("t"), lambda x, i: F.struct(x.alias("term"), F.when((i > 0) & (x == F.get("t", i - 1)), 0).otherwise(1).alias("first"))
-    )
-    rows = docs.select(*clean, sorted_terms.alias("t")).filter(F.size("t") > 0).select("lang", "source", F.explode(first).alias("x"))
-    counts = rows.groupBy("lang", "source", "x.term").agg(F.count("*").alias("n"), F.sum("x.first").alias("docs"))
-    return groups, stage(counts, "counts")
+    rows = docs.select(*clean, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    parts = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    return groups, stage(parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
 
 
 def divergences(
