@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.operators import clean, frequency, profile, series
+from tablework.operators.sketches import RANK_ERROR, merge_sketches, quantile_sketches, sketch_quantiles
+from tablework.plans import stage
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -268,7 +270,33 @@ SELECT user_id, span, sum(n) / 48 AS per_hour, sum(n) / 2 AS per_day,
 FROM s GROUP BY user_id, span
 """
 
+SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+def merged_quantiles(spark, folder):
+    """Quantiles per event type of sketches that were stored per day, and whether the true rank of
+    each is within RANK_ERROR of its share."""
+    events = table(spark, folder, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    daily = stage(quantile_sketches(events, ["event_type", "day"], "value"), "daily")
+    found = stage(sketch_quantiles(merge_sketches(daily, ["event_type"]), SHARES), "quantiles")
+    # a row per event type and share
+    limits = found.select(F.col("event_type").alias("kind"), "n", "share", F.col("value").alias("limit"))
+    ranked = events.join(F.broadcast(limits), F.col("event_type").eqNullSafe(F.col("kind"))).groupBy("event_type", "n", "share").agg(
+        (F.sum(F.when(F.col("value") < F.col("limit"), 1).otherwise(0)) / F.col("n")).alias("below"),
+        (F.sum(F.when(F.col("value") <= F.col("limit"), 1).otherwise(0)) / F.col("n")).alias("up_to"),
+    )
+    within = (F.col("below") - RANK_ERROR <= F.col("share")) & (F.col("share") <= F.col("up_to") + RANK_ERROR)
+    return ranked.select("event_type", "n", "share", within.alias("within"))
+
+
+MERGED_QUANTILES_SQL = f"""
+SELECT event_type, count(*) AS n, CAST(share AS DOUBLE) AS share, true AS within
+FROM events, (SELECT unnest([{", ".join(str(s) for s in SHARES)}]) AS share)
+WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL
+"""
+
 QUERIES = {
+    "merged_quantiles": merged_quantiles,
     "profile_numeric": profile_numeric,
     "cast_dropna": cast_dropna,
     "rename_project": rename_project,
@@ -286,6 +314,7 @@ QUERIES = {
 }
 
 SQL = {
+    "merged_quantiles": MERGED_QUANTILES_SQL,
     "profile_numeric": PROFILE_SQL,
     "cast_dropna": CAST_SQL,
     "rename_project": RENAME_SQL,
