@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tablework.functions.text import story_line, words
-from tablework.jobs.tables import table
+from tablework.jobs.tables import table, with_int
 from tablework.jobs.texts import (
     CORNER_SQL,
     NEIGHBOURS_SQL,
@@ -16,9 +16,9 @@ from tablework.jobs.texts import (
     lsh_candidates,
     shingle_corner_lines,
 )
+from tablework.jobs.words import REPORT_SQL, report_sections
 from tablework.operators import clean, lsh
 from tablework.operators.cooccur import as_matrix, cooccurrence
-from tablework.operators.frequency import top_value_per_group
 from tablework.plans import stage
 from tablework.plans.staging import scratch_dir
 from tablework.sinks import (
@@ -27,9 +27,10 @@ from tablework.sinks import (
     write_matrix,
     write_popularity,
     write_report,
+    write_report_text,
     write_vectors,
 )
-from tablework.sources import read_delimited, read_first, read_records, read_union
+from tablework.sources import read_delimited, read_first, read_lines, read_records, read_union
 
 
 def _folder(spark, name: str) -> str:
@@ -164,22 +165,24 @@ FROM (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL), (VALU
 def report_files(spark, folder):
     """The word report, written in sections and read back."""
     path = _folder(spark, "report")
-    counts = table(spark, folder, "documents").select("lang", "source")
-    sections = {
-        name: top_value_per_group(counts, a, b).select(F.lit(1).alias("rank"), F.concat_ws("/", a, b).alias("key"), "n")
-        for name, a, b in (("lang", "lang", "source"), ("source", "source", "lang"))
-    }
-    write_report(sections, "key", "n", path)
+    write_report(report_sections(spark, folder), "key", "value", path)
     back = spark.read.option("header", True).csv(path)
     return back.select("section", F.col("rank").cast("int").alias("rank"), "key", "value")
 
 
-REPORT_SQL = " UNION ALL ".join(
-    f"""SELECT '{a}' AS section, CAST(1 AS INTEGER) AS rank, {a} || '/' || {b} AS key, CAST(n AS VARCHAR) AS value
-    FROM (SELECT {a}, {b}, count(*) AS n, row_number() OVER (PARTITION BY {a} ORDER BY count(*) DESC, {b}) AS r
-          FROM documents GROUP BY {a}, {b}) WHERE r = 1"""
-    for a, b in (("lang", "source"), ("source", "lang"))
-)
+def report_text(spark, folder):
+    """The word report as one ordered text, written and read back as numbered lines."""
+    path = _folder(spark, "report_text")
+    write_report_text(report_sections(spark, folder), "key", "value", path)
+    return read_lines(spark, path)
+
+
+REPORT_TEXT_SQL = f"""
+WITH r AS ({REPORT_SQL}),
+every AS (SELECT CASE section WHEN 'sources' THEN 1 ELSE 0 END AS s, rank, key, value, rank || chr(9) || key || chr(9) || value AS text FROM r
+          UNION ALL SELECT 0, 0, '', '', '[words per language]' UNION ALL SELECT 1, 0, '', '', '[sources]')
+SELECT row_number() OVER (ORDER BY s, rank, key, value) - 1 AS line, text FROM every
+"""
 
 
 def corner_file(spark, folder):
@@ -250,6 +253,7 @@ QUERIES = {
     "union_of_files": union_of_files,
     "popularity_files": popularity_files,
     "report_files": report_files,
+    "report_text": report_text,
     "corner_file": corner_file,
     "adjacency_files": adjacency_files,
     "matrix_files": matrix_files,
@@ -263,7 +267,8 @@ SQL = {
     "headerless_malformed": HEADERLESS_SQL,
     "union_of_files": UNION_FILES_SQL,
     "popularity_files": POPULARITY_SQL,
-    "report_files": REPORT_SQL,
+    "report_files": with_int(REPORT_SQL, "rank"),
+    "report_text": REPORT_TEXT_SQL,
     "corner_file": CORNER_FILE_SQL,
     "adjacency_files": NEIGHBOURS_SQL,
     "matrix_files": MATRIX_SQL,

@@ -15,6 +15,7 @@ from tablework.functions.text import (
 )
 from tablework.jobs.tables import table, with_int
 from tablework.operators import lsh, minhash, sets
+from tablework.operators.clean import stack_tables
 from tablework.plans import spread, stage
 from tablework.plans.components import components
 
@@ -305,7 +306,30 @@ FROM (SELECT a, b, (row_number() OVER (PARTITION BY a ORDER BY b) - 1) // 1000 A
 GROUP BY a, line
 """
 
+def merged_signatures(spark, folder):
+    """Signatures of every source, language and the whole table, merged from those stored per source and language."""
+    groups = table(spark, folder, "documents").select("doc_id", "source", "lang")
+    texts = document_signatures(spark, folder).join(groups, "doc_id")
+    stored = stage(minhash.merge_signatures(texts, ["source", "lang"], FAMILY.size), "parts")
+    levels = (
+        ("source", minhash.merge_signatures(stored, ["source"], FAMILY.size).withColumnRenamed("source", "name")),
+        ("lang", minhash.merge_signatures(stored, ["lang"], FAMILY.size).withColumnRenamed("lang", "name")),
+        ("all", minhash.merge_signatures(stored, [], FAMILY.size).withColumn("name", F.lit(""))),
+    )
+    line = F.array_join(F.col("sig").cast("array<string>"), ",")
+    return stack_tables([df.select(F.lit(level).alias("level"), "name", line.alias("sig")) for level, df in levels])
+
+
+_LEAST_SQL = "array_to_string([" + ", ".join(f"min(({a} * x + {b}) % {PRIME})" for a, b in FAMILY.coefficients) + "], ',') AS sig"
+MERGED_SIGNATURES_SQL = f"""
+WITH {SIGNATURES_SQL}, n AS (SELECT DISTINCT source, lang, x FROM numbers JOIN documents USING (doc_id))
+SELECT 'source' AS level, source AS name, {_LEAST_SQL} FROM n GROUP BY source
+UNION ALL SELECT 'lang', lang, {_LEAST_SQL} FROM n GROUP BY lang
+UNION ALL SELECT 'all', '', {_LEAST_SQL} FROM n
+"""
+
 QUERIES = {
+    "merged_signatures": merged_signatures,
     "extract_blocks": extract_blocks,
     "tokens_alpha": tokens_alpha,
     "tokens_word": tokens_word,
@@ -325,6 +349,7 @@ QUERIES = {
 }
 
 SQL = {
+    "merged_signatures": MERGED_SIGNATURES_SQL,
     "extract_blocks": with_int(EXTRACT_SQL, "pos"),
     "tokens_alpha": with_int(ALPHA_SQL, "n_tokens"),
     "tokens_word": with_int(WORD_SQL, "n_tokens"),

@@ -79,8 +79,8 @@ QUALIFY rank <= 10
 """
 
 
-def word_report(spark, folder):
-    """Two ranked tables as one sectioned report."""
+def report_sections(spark, folder):
+    """Two ranked tables, each with rank, key and value."""
     both = document_words(spark, folder)
     per_lang = frequency.top_per_group(
         frequency.word_counts(both, "tokens", "lang"), "lang", "word", 100
@@ -91,13 +91,17 @@ def word_report(spark, folder):
         "value",
         100,
     )
-    sections = {
+    return {
         "words per language": per_lang.withColumn("value", F.concat_ws(" ", "word", "n")).select(
             "rank", F.col("lang").alias("key"), "value"
         ),
         "sources": per_source.select("rank", F.col("value").alias("key"), F.col("n").alias("value")),
     }
-    return report_rows(sections, "key", "value")
+
+
+def word_report(spark, folder):
+    """Two ranked tables as one sectioned report."""
+    return report_rows(report_sections(spark, folder), "key", "value")
 
 
 REPORT_SQL = f"""

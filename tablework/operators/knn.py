@@ -13,6 +13,7 @@ from tablework.plans import block_cells, stage
 
 _SCORES = 1 << 21  # similarities held at once inside a cell
 _FEW_BUCKETS = 1 << 17  # bucket sizes that may be broadcast unseen
+Z = 2.575829  # 99 of 100 intervals hold the true recall
 _DIGITS = 9  # similarities are compared after rounding, so ties do not hang on float noise
 
 
@@ -182,3 +183,28 @@ def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
         F.count("_hit").alias("found"),
         F.try_divide(F.count("_hit"), F.count("*")).alias("recall"),
     )
+
+
+def recall_interval(exact: DataFrame, approximate: DataFrame) -> DataFrame:
+    """``(queries, wanted, found, recall, low, high)`` from a sample of queries, e.g. ``clean.sample_rows``.
+
+    ``recall`` is the mean of the queries' own recalls, as neighbours of one query are not
+    independent; the interval is ``Z`` standard errors wide on each side. One query alone has no interval.
+    """
+    wanted = exact.select("query", "neighbour")
+    found = approximate.select("query", "neighbour", F.lit(1).alias("_hit"))
+    each = wanted.join(found, ["query", "neighbour"], "left").groupBy("query").agg(
+        F.count("*").alias("wanted"), F.count("_hit").alias("found")
+    )
+    share = F.col("found") / F.col("wanted")
+    total = each.agg(
+        F.count("*").alias("queries"),
+        F.coalesce(F.sum("wanted"), F.lit(0)).alias("wanted"),
+        F.coalesce(F.sum("found"), F.lit(0)).alias("found"),
+        F.avg(share).alias("recall"),
+        F.stddev_samp(share).alias("_spread"),
+    )
+    margin = F.lit(Z) * F.col("_spread") / F.sqrt("queries")
+    # greatest and least would skip a missing margin
+    low, high = (F.when(margin.isNotNull(), limit) for limit in (F.greatest(F.col("recall") - margin, F.lit(0.0)), F.least(F.col("recall") + margin, F.lit(1.0))))
+    return total.select("queries", "wanted", "found", "recall", low.alias("low"), high.alias("high"))

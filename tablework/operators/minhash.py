@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +48,20 @@ def set_signatures(
 def signature_cells(signatures: DataFrame, row_id: str) -> DataFrame:
     """Long form of the signature matrix: ``(row_id, i, value)``."""
     return signatures.select(row_id, F.posexplode("sig").alias("i", "value"))
+
+
+def merge_signatures(signatures: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """``keys`` and ``sig``: the signature of the union of each group's sets, without the sets.
+
+    The smallest hash value of a union is the smallest of its parts, place by place, so
+    stored signatures of parts give those of larger groups, or of a table after an addition. One row
+    per task and group is shuffled. Null signatures (empty sets) add nothing; a group of nothing else has no
+    row. Signatures that do not have ``size`` values are an error. Without keys there is one group.
+    """
+    fits = F.when(F.size("sig") == size, F.col("sig")).otherwise(
+        F.raise_error(F.lit("signatures differ in length")).cast("array<bigint>")
+    )
+    rows = signatures.filter(F.col("sig").isNotNull()).select(*keys, fits.alias("sig"))
+    # an element each: the places are found in one pass without a row per value
+    merged = rows.groupBy(*keys).agg(*[F.min(F.col("sig")[i]).alias(f"_{i}") for i in range(size)])
+    return merged.select(*keys, F.array(*[f"_{i}" for i in range(size)]).alias("sig")).filter(F.col("sig")[0].isNotNull())

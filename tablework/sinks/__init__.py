@@ -6,6 +6,7 @@ from tablework.sinks.files import (
     write_matrix,
     write_popularity,
     write_report,
+    write_report_text,
     write_vectors,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "write_matrix",
     "write_popularity",
     "write_report",
+    "write_report_text",
     "write_vectors",
 ]

@@ -63,6 +63,31 @@ def write_report(
     rows.write.mode(mode).partitionBy("section").option("header", True).csv(path)
 
 
+def report_lines(sections: Mapping[str, DataFrame], key: str, value: str) -> DataFrame:
+    """The report as text: ``(section_no, rank, key, value, line)``, a ``[section]`` line (rank 0) before each section.
+
+    Null keys and values are empty; a line break inside one becomes a blank, as a row is one line.
+    """
+    number = F.create_map(*[x for i, name in enumerate(sections) for x in (F.lit(name), F.lit(i))])
+    text = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\R", " ")
+    rows = report_rows(sections, key, value).withColumn("line", F.concat_ws("\t", "rank", text("key"), text("value")))
+    spark = rows.sparkSession
+    heads = spark.createDataFrame([(n, 0, None, None, f"[{n}]") for n in sections], "section string, rank int, key string, value string, line string")
+    every = heads.unionByName(rows)
+    return every.select(number[F.col("section")].alias("section_no"), "rank", "key", "value", "line")
+
+
+def write_report_text(
+    sections: Mapping[str, DataFrame], key: str, value: str, path: str, mode: str = "errorifexists"
+) -> None:
+    """All sections, in the order given, as text files whose concatenation in name order is the report.
+
+    Sections follow by rank, key and value. The sort is by ranges, so no task holds the report.
+    """
+    ordered = report_lines(sections, key, value).orderBy("section_no", "rank", "key", "value")
+    ordered.select("line").write.mode(mode).text(path)
+
+
 def write_matrix(matrix: DataFrame, group: str, path: str, mode: str = "errorifexists") -> None:
     """Square matrices, one folder per group."""
     matrix.write.mode(mode).partitionBy(group).option("header", True).csv(path)

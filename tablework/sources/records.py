@@ -7,6 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablework.plans import dense_index, stage
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(line, text)``: all lines of the files in order of their names, numbered from 0.
+
+    Rows of a split come in order, so a line's place is its file, split and row; the
+    numbers are given by ranges of places, not in one task.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.struct(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("at"),
+        ).alias("_place"),
+        F.col("value").alias("text"),
+    )
+    # written, as row numbers of a scan may differ between reads
+    return dense_index(stage(lines, "lines"), "_place", "line").select("line", "text")
+
 
 def read_records(
     spark: SparkSession,

@@ -3,6 +3,7 @@ import pytest
 
 from tablework.functions.hashing import SignPlanes
 from tablework.operators import knn
+from tablework.operators.clean import sample_rows
 
 
 def cosine(x, y):
@@ -102,3 +103,25 @@ def test_vectors_that_do_not_fit_are_an_error(vectors, spark, odd):
     more = df.unionByName(spark.createDataFrame([(500, odd), (501, [1.0] * (16 - len(odd)))], df.schema))
     with pytest.raises(Exception, match="differ in length"):
         knn.exact_neighbours(more, more, 3).collect()
+
+
+def test_recall_interval(spark):
+    exact = spark.createDataFrame([(q, n) for q in range(30) for n in (100, 200)], "query bigint, neighbour bigint")
+    found = exact.filter("query >= 10 OR neighbour = 100")
+    got = knn.recall_interval(exact, found).first()
+    shares = np.array([0.5] * 10 + [1.0] * 20)
+    margin = knn.Z * shares.std(ddof=1) / np.sqrt(30)
+    assert (got.queries, got.wanted, got.found) == (30, 60, 50)
+    assert np.allclose([got.recall, got.low, got.high], [shares.mean(), shares.mean() - margin, min(shares.mean() + margin, 1)])
+    one = knn.recall_interval(exact.filter("query = 0"), found).first()
+    assert tuple(one) == (1, 2, 1, 0.5, None, None)
+    assert tuple(knn.recall_interval(exact.filter("false"), found).first()) == (0, 0, 0, None, None, None)
+
+
+def test_interval_of_a_sample_holds_the_full_recall(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").selectExpr("vec_id AS id", "embedding AS vec")
+    planes = SignPlanes(planes=4, tables=8, dim=64, seed=7)
+    asked = sample_rows(rows, "id", 0.2)
+    part = knn.recall_interval(knn.exact_neighbours(asked, rows, 3), knn.approximate_neighbours(asked, rows, planes, 3)).first()
+    whole = knn.recall(knn.exact_neighbours(rows, rows, 3), knn.approximate_neighbours(rows, rows, planes, 3)).first()
+    assert 50 < part.queries < 150 and part.low <= whole.recall <= part.high

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 
 from tablework import sinks
 from tablework.operators import cooccur
-from tablework.sources import read_delimited
+from tablework.sources import read_delimited, read_lines
 
 
 def parts(path):
@@ -62,3 +62,20 @@ def test_matrix_and_adjacency(spark, tmp_path):
     sinks.write_adjacency(lists, str(tmp_path / "j"))
     line = [t for p in parts(tmp_path / "j") for t in p.read_text().splitlines()]
     assert [json.loads(t) for t in line] == [{"a": 1, "line": 0, "neighbours": [2, 5]}]
+
+
+def test_report_text_is_the_concatenation_of_its_files(spark, tmp_path):
+    first = spark.createDataFrame([(2, "b", "1"), (1, None, "x\ny"), (1, "a", None), (1, "a", "0")], "rank int, k string, v string")
+    many = spark.range(3000).selectExpr("cast(id + 1 as int) as rank", "cast(id as string) as k", "'v' as v").repartition(6)
+    path = str(tmp_path / "r")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files from few rows
+    try:
+        sinks.write_report_text({"title": first, "none": first.filter("rank > 9"), "body": many}, "k", "v", path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = ["[title]", "1\t\tx y", "1\ta\t", "1\ta\t0", "2\tb\t1", "[none]", "[body]"] + [f"{i + 1}\t{i}\tv" for i in range(3000)]
+    files = sorted(parts(path))
+    assert len(files) > 1
+    assert [t for f in files for t in f.read_text().splitlines()] == want
+    assert [r.text for r in read_lines(spark, path).orderBy("line").collect()] == want
+    assert [r.line for r in read_lines(spark, path).orderBy("line").collect()] == list(range(len(want)))
