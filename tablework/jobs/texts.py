@@ -14,7 +14,7 @@ from tablework.functions.text import (
     story_tokens,
 )
 from tablework.jobs.tables import table, with_int
-from tablework.operators import lsh, minhash, sets
+from tablework.operators import lsh, minhash, postings, sets
 from tablework.operators.clean import stack_tables
 from tablework.plans import spread, stage
 from tablework.plans.components import components
@@ -328,7 +328,50 @@ UNION ALL SELECT 'lang', lang, {_LEAST_SQL} FROM n GROUP BY lang
 UNION ALL SELECT 'all', '', {_LEAST_SQL} FROM n
 """
 
+def document_postings(spark, folder):
+    found = document_sets(spark, folder)
+    ones = sets.shingle_matrix(found, "doc_id", sets.shingle_index(found))
+    return postings.posting_lists(ones, "doc_id", span=256)
+
+
+def posting_lists(spark, folder):
+    """The transposed 0/1 matrix as inverted lists: per shingle and segment of 256 ids the steps between its documents."""
+    lists = document_postings(spark, folder)
+    return lists.withColumn("deltas", F.array_join(F.col("deltas").cast("array<string>"), ","))
+
+
+_INDEX_SQL = f"""
+WITH {SETS_SQL},
+vocabulary AS (SELECT shingle, row_number() OVER (ORDER BY shingle) - 1 AS idx FROM (SELECT DISTINCT shingle FROM shingles)),
+ones AS MATERIALIZED (SELECT idx, doc_id FROM shingles JOIN vocabulary USING (shingle))
+"""
+POSTINGS_SQL = f"""
+{_INDEX_SQL},
+steps AS (SELECT idx, doc_id // 256 AS segment, doc_id, doc_id - coalesce(lag(doc_id) OVER w, doc_id // 256 * 256) AS step
+          FROM ones WINDOW w AS (PARTITION BY idx, doc_id // 256 ORDER BY doc_id))
+SELECT idx, segment, CAST(count(*) AS INTEGER) AS n, string_agg(CAST(step AS VARCHAR), ',' ORDER BY doc_id) AS deltas
+FROM steps GROUP BY idx, segment
+"""
+
+
+def posting_pairs(spark, folder):
+    """In how many documents a shingle lies together with the next one of the vocabulary, from the inverted lists."""
+    lists = stage(document_postings(spark, folder), "lists")
+    names = lists.select("idx").distinct()
+    following = names.select((F.col("idx") + 1).alias("b")).join(names.select(F.col("idx").alias("b")), "b")
+    return postings.shared_rows(lists, stage(following.select((F.col("b") - 1).alias("a"), "b"), "pairs"))
+
+
+POSTING_PAIRS_SQL = f"""
+{_INDEX_SQL},
+v AS (SELECT idx, idx + 1 AS next FROM vocabulary WHERE idx < (SELECT max(idx) FROM vocabulary)),
+n AS (SELECT x.idx AS a, count(*) AS n FROM ones x JOIN ones y ON x.doc_id = y.doc_id AND y.idx = x.idx + 1 GROUP BY ALL)
+SELECT v.idx AS a, v.next AS b, coalesce(n, 0) AS n FROM v LEFT JOIN n ON n.a = v.idx
+"""
+
 QUERIES = {
+    "posting_lists": posting_lists,
+    "posting_pairs": posting_pairs,
     "merged_signatures": merged_signatures,
     "extract_blocks": extract_blocks,
     "tokens_alpha": tokens_alpha,
@@ -349,6 +392,8 @@ QUERIES = {
 }
 
 SQL = {
+    "posting_lists": POSTINGS_SQL,
+    "posting_pairs": POSTING_PAIRS_SQL,
     "merged_signatures": MERGED_SIGNATURES_SQL,
     "extract_blocks": with_int(EXTRACT_SQL, "pos"),
     "tokens_alpha": with_int(ALPHA_SQL, "n_tokens"),

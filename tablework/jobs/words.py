@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tablework.functions.text import day_of, words
 from tablework.jobs.tables import table, with_int
-from tablework.operators import clean, cooccur, frequency
-from tablework.plans import spread
+from tablework.operators import bitmaps, cooccur, frequency
+from tablework.plans import spread, stage
 from tablework.sinks.files import report_rows
 
 WORDS_SQL = """
@@ -155,7 +155,58 @@ MATRIX_SQL = (
     + " FROM pairs GROUP BY lang, r1, w1"
 )
 
+def cooccurrence_gram(spark, folder):
+    """Of each of a language's five thousand top words: its documents, how many words it meets and in how many rows, and the one it meets most."""
+    pairs = stage(cooccur.gram(document_words(spark, folder), "lang", "tokens", 5000), "pairs")
+    one, other = (
+        pairs.select("lang", F.col(f"r{x}").alias("rank"), F.col(f"w{x}").alias("word"), F.col(f"r{y}").alias("other"), "n")
+        for x, y in ((1, 2), (2, 1))
+    )
+    apart = F.col("rank") != F.col("other")
+    # the most frequent partner, the first of equals
+    most = F.max(F.when(apart, F.struct("n", (-F.col("other")).alias("minus"))))
+    return (
+        one.unionByName(other.filter(apart))
+        .groupBy("lang", "rank", "word")
+        .agg(
+            F.max(F.when(~apart, F.col("n"))).alias("docs"),
+            F.count_if(apart).alias("partners"),
+            F.sum(F.when(apart, F.col("n")).otherwise(0)).alias("together"),
+            (-most["minus"]).alias("best"),
+        )
+    )
+
+
+GRAM_SQL = f"""
+WITH {WORDS_SQL}, {TOP_SQL.replace("100", "5000")},
+present AS MATERIALIZED (SELECT DISTINCT doc_id, lang, rank FROM words JOIN ranked USING (lang, word)),
+counts AS MATERIALIZED (SELECT x.lang, x.rank, y.rank AS other, count(*) AS n FROM present x JOIN present y ON x.doc_id = y.doc_id GROUP BY ALL),
+best AS (SELECT lang, rank, arg_max(other, n * 10000 - other) AS best FROM counts WHERE rank <> other GROUP BY ALL),
+sums AS (SELECT lang, rank, max(n) FILTER (rank = other) AS docs, count(*) FILTER (rank <> other) AS partners,
+                CAST(coalesce(sum(n) FILTER (rank <> other), 0) AS BIGINT) AS together FROM counts GROUP BY ALL)
+SELECT lang, rank, word, docs, partners, together, CAST(best AS INTEGER) AS best
+FROM sums JOIN ranked USING (lang, rank) LEFT JOIN best USING (lang, rank)
+"""
+
+
+def cooccurrence_bitmaps(spark, folder):
+    """Documents of pairs of a language's hundred top words, from bitmaps, and those that hold any of the words (ranks 0)."""
+    texts = document_words(spark, folder)
+    top = cooccur.vocabulary(texts, "lang", "tokens")
+    found = stage(bitmaps.presence_bitmaps(texts, "doc_id", "lang", "tokens", top), "bitmaps")
+    some = bitmaps.row_counts(found, ["lang"]).select("lang", F.lit(0).alias("r1"), F.lit(0).alias("r2"), "n")
+    return bitmaps.pair_counts(found, "lang").unionByName(some)
+
+
+BITMAPS_SQL = f"""
+WITH {PAIRS_SQL}
+SELECT lang, r1, r2, n FROM pairs WHERE r1 <= r2 AND n > 0
+UNION ALL SELECT lang, 0, 0, count(DISTINCT doc_id) FROM present GROUP BY lang
+"""
+
 QUERIES = {
+    "cooccurrence_gram": cooccurrence_gram,
+    "cooccurrence_bitmaps": cooccurrence_bitmaps,
     "word_top_total": word_top_total,
     "word_top_per_group": word_top_per_group,
     "word_top_per_day": word_top_per_day,
@@ -167,6 +218,8 @@ QUERIES = {
 }
 
 SQL = {
+    "cooccurrence_gram": with_int(GRAM_SQL, "rank"),
+    "cooccurrence_bitmaps": with_int(BITMAPS_SQL, "r1", "r2"),
     "word_top_total": TOTAL_SQL,
     "word_top_per_group": with_int(PER_GROUP_SQL, "rank"),
     "word_top_per_day": with_int(PER_DAY_SQL, "rank"),

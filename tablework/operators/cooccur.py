@@ -17,6 +17,9 @@ from tablework.plans import join_lookup, stage, unnest
 # Groups whose word lists every executor may hold (a hundred words each).
 _BROADCAST_GROUPS = 20_000
 
+# Words by words of which a product is worked out at once.
+_BLOCK = 512
+
 
 def vocabulary(df: DataFrame, group: str, tokens: str, size: int = 100) -> DataFrame:
     """The ``size`` most frequent words of every group as ``(group, words)``, best first.
@@ -28,8 +31,20 @@ def vocabulary(df: DataFrame, group: str, tokens: str, size: int = 100) -> DataF
     return ranked.groupBy(group).agg(F.transform(entries, lambda e: e["word"]).alias("words"))
 
 
-def _count_pairs(group_type: pa.DataType):
-    """Per batch and group ``(g, w1, w2, n)`` with ``w1 <= w2``: rows that hold both words."""
+def _marks(line: np.ndarray, column: np.ndarray, rows: int, start: int, block: int) -> np.ndarray:
+    """0/1 matrix of the rows and a block of the columns."""
+    inside = (column >= start) & (column < start + block)
+    marks = np.zeros((rows, min(block, max(int(column.max()) + 1 - start, 0))), dtype=np.float32)
+    marks[line[inside], column[inside] - start] = 1
+    return marks
+
+
+def _count_pairs(group_type: pa.DataType, block: int = _BLOCK):
+    """Per batch and group ``(g, w1, w2, n)`` with ``w1 <= w2``: rows that hold both words.
+
+    A long list of words is taken block by block, so no more than a block by a block of
+    the product is held, and only what is not zero leaves the task.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,31 +66,34 @@ def _count_pairs(group_type: pa.DataType):
                 code = codes_of[start]
                 here, column = np.unique(word[start:end], return_inverse=True)
                 rows, line = np.unique(row[start:end], return_inverse=True)
-                marks = np.zeros((len(rows), len(here)), dtype=np.float32)
-                marks[line, column] = 1
-                matrix = np.triu(np.rint(marks.T @ marks).astype(np.int64))
-                i, j = np.nonzero(matrix)
                 value = None if code < 0 else groups.dictionary[int(code)].as_py()
                 text = words.dictionary.take(pa.array(order[here]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([value] * len(i), type=group_type),
-                        text.take(pa.array(i)),
-                        text.take(pa.array(j)),
-                        pa.array(matrix[i, j]),
-                    ],
-                    names=["g", "a", "b", "n"],
-                )
+                for left in range(0, len(here), block):
+                    marks = _marks(line, column, len(rows), left, block)
+                    for right in range(left, len(here), block):
+                        others = marks if right == left else _marks(line, column, len(rows), right, block)
+                        matrix = np.rint(marks.T @ others).astype(np.int64)
+                        i, j = np.nonzero(np.triu(matrix) if right == left else matrix)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([value] * len(i), type=group_type),
+                                text.take(pa.array(i + left)),
+                                text.take(pa.array(j + right)),
+                                pa.array(matrix[i, j]),
+                            ],
+                            names=["g", "a", "b", "n"],
+                        )
 
     return count
 
 
-def _present_in_group(df: DataFrame, group: str, tokens: str, words: DataFrame) -> DataFrame:
-    """Per row those of its words that are in its own group's list."""
-    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens"))
+def present_in_group(df: DataFrame, group: str, tokens: str, words: DataFrame, *keep: str, size: int = 100) -> DataFrame:
+    """Per row those of its words that are in its own group's list, and the columns to ``keep``."""
+    rows = df.select(F.col(group).alias("_row_group"), F.col(tokens).alias("_tokens"), *keep)
     same_group = F.col("_row_group").eqNullSafe(F.col(group))
-    return join_lookup(rows, words, same_group, limit=_BROADCAST_GROUPS).select(
+    return join_lookup(rows, words, same_group, limit=_BROADCAST_GROUPS * 100 // size).select(
         group,
+        *keep,
         F.coalesce(F.array_intersect("words", "_tokens"), F.array().cast("array<string>")).alias(
             "present"
         ),
@@ -122,18 +140,8 @@ def cooccurrence(
     if all_rows:
         present = _present_anywhere(df, tokens, group, words)
     else:
-        present = _present_in_group(df, group, tokens, words)
-    field = words.schema[group]
-    schema = StructType(
-        [
-            StructField("g", field.dataType),
-            StructField("a", StringType()),
-            StructField("b", StringType()),
-            StructField("n", LongType()),
-        ]
-    )
-    partial = present.mapInArrow(_count_pairs(to_arrow_type(field.dataType)), schema)
-    counts = partial.groupBy("g", "a", "b").agg(F.sum("n").alias("n"))
+        present = present_in_group(df, group, tokens, words)
+    counts = _summed(present, group)
     cells = words.select(
         F.col(group).alias("_g"), "words", F.posexplode("words").alias("r1", "w1")
     ).select("_g", "r1", "w1", F.posexplode("words").alias("r2", "w2"))
@@ -152,6 +160,49 @@ def cooccurrence(
     )
 
 
+def gram(
+    df: DataFrame, group: str, tokens: str, size: int = 5000, diagonal: bool = True, block: int = _BLOCK
+) -> DataFrame:
+    """Like ``cooccurrence`` for long lists of words: ``(group, r1, w1, r2, w2, n)`` with ``r1 <= r2`` and
+    ``n > 0`` only, with or without the document frequencies (``r1 = r2``).
+
+    Products are worked out and added up block by block, and pairs that never meet are never
+    rows, so neither a task nor the result holds a group's whole matrix.
+    """
+    words = stage(vocabulary(df, group, tokens, size), "vocabulary")
+    counts = _summed(present_in_group(df, group, tokens, words, size=size), group, block)
+    if not diagonal:
+        counts = counts.filter("a <> b")
+    ranks = stage(words.select(F.col(group).alias("_g"), F.posexplode("words").alias("_r", "_w")), "ranks")
+    for word, rank in (("a", "_ra"), ("b", "_rb")):
+        same = F.col("_g").eqNullSafe(F.col("g")) & (F.col("_w") == F.col(word))
+        counts = join_lookup(counts, ranks, same).withColumn(rank, F.col("_r") + 1).drop("_g", "_r", "_w")
+    first = F.col("_ra") <= F.col("_rb")
+    return counts.select(
+        F.col("g").alias(group),
+        F.least("_ra", "_rb").alias("r1"),
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("w1"),
+        F.greatest("_ra", "_rb").alias("r2"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("w2"),
+        "n",
+    )
+
+
+def _summed(present: DataFrame, group: str, block: int = _BLOCK) -> DataFrame:
+    """``(g, a, b, n)``: rows of the group that hold both words, ``a <= b``."""
+    kind = present.schema[group].dataType
+    schema = StructType(
+        [
+            StructField("g", kind),
+            StructField("a", StringType()),
+            StructField("b", StringType()),
+            StructField("n", LongType()),
+        ]
+    )
+    partial = present.mapInArrow(_count_pairs(to_arrow_type(kind), block), schema)
+    return partial.groupBy("g", "a", "b").agg(F.sum("n").alias("n"))
+
+
 def as_matrix(pairs: DataFrame, group: str, size: int = 100) -> DataFrame:
     """Square form: one row per word, columns ``c1 .. c<size>`` by rank of the other word."""
     ranks = list(range(1, size + 1))

@@ -50,3 +50,18 @@ def test_counted_in_the_rows_of_all_groups(spark):
     df = spark.createDataFrame(rows, "g string, t array<string>").repartition(3)
     found = cooccur.cooccurrence(df, "g", "t", size=5, all_rows=True)
     assert {(r.g, r.w1, r.w2): r.n for r in found.collect()} == brute_force(rows, 5, all_rows=True)
+
+
+def test_gram_in_blocks(spark):
+    draw = np.random.RandomState(9)
+    rows = [("hot", [f"w{v}" for v in draw.zipf(1.3, 25) if v < 400]) for _ in range(200)] + [(None, ["x", "y"]), (None, ["x"]), ("one", ["alone"])]
+    df = spark.createDataFrame(rows + [("hot", None), ("silent", [])], "g string, t array<string>").repartition(3)
+    want = {pair: n for pair, n in brute_force(rows, 150).items() if n}
+    for block in (16, 512):
+        found = cooccur.gram(df, "g", "t", 150, block=block).collect()
+        assert all(r.r1 <= r.r2 for r in found)
+        got = {(r.g, r.w1, r.w2): r.n for r in found}
+        assert len(got) == len(found)
+        assert got | {(g, b, a): n for (g, a, b), n in got.items()} == want
+    assert {(r.w1, r.w2) for r in cooccur.gram(df.filter("g is null"), "g", "t", 9, diagonal=False).collect()} == {("x", "y")}
+    assert cooccur.gram(df.filter("g = 'silent'"), "g", "t").collect() == []
