@@ -206,7 +206,7 @@ def write_warc(
     columns = "page_id long, url string, digest string, size long, refers_to long, kind int, shard long, member binary"
     ready = rows.unionByName(revisits).mapInArrow(_packed(bounds), columns)
     order = [F.col("shard"), F.col("page_id").asc_nulls_last(), F.col("digest"), F.col("kind"), F.col("url")]
-    written = ready.repartition(shards, "shard").sortWithinPartitions(*order).mapInArrow(_written(folder, roll_bytes), _MANIFEST)
+    written = ready.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions(*order).mapInArrow(_written(folder, roll_bytes), _MANIFEST)
     filesystem, path = _open(folder)
     filesystem.create_dir(path)
     written.write.parquet(f"{folder}/_manifest")
