@@ -142,3 +142,26 @@ def sign_buckets(vector: str, planes: SignPlanes) -> Column:
         return pd.Series(list((bits * weights).sum(axis=2)))
 
     return bucket(F.col(vector))
+
+
+def probed_buckets(vector: str, planes: SignPlanes, weak: int) -> Column:
+    """Per table the ``2 ** weak`` buckets with any signs on the planes the vector is nearest to.
+
+    A near vector most likely lies on the other side of the planes with the smallest projections
+    (the first plane of equal ones), so these buckets are asked first; the vector's own comes first of all.
+    """
+    normals = planes.normals.reshape(-1, planes.dim)
+    weights = 1 << np.arange(planes.planes - 1, -1, -1, dtype=np.int64)
+    weak = min(weak, planes.planes)
+    flips = (np.arange(1 << weak)[:, None] >> np.arange(weak)) & 1
+
+    @F.pandas_udf("array<array<bigint>>")
+    def probe(vectors: pd.Series) -> pd.Series:
+        rows = np.array(vectors.tolist(), dtype=np.float64).reshape(-1, planes.dim)
+        along = (rows @ normals.T).reshape(-1, planes.tables, planes.planes)
+        own = ((along > 0) * weights).sum(axis=2)
+        nearest = np.argsort(np.abs(along), axis=2, kind="stable")[:, :, :weak]
+        buckets = own[:, :, None] ^ (weights[nearest] @ flips.T)
+        return pd.Series([list(tables) for tables in buckets])
+
+    return probe(F.col(vector))

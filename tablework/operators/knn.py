@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.functions.hashing import SignPlanes, sign_buckets
+from tablework.functions.hashing import SignPlanes, probed_buckets, sign_buckets
 from tablework.plans import block_cells, stage
 
 _SCORES = 1 << 21  # similarities held at once inside a cell
@@ -142,6 +144,18 @@ def bucketed(df: DataFrame, planes: SignPlanes, vector: str = "vec") -> DataFram
     return spread_out.withColumn("bucket", bucket).drop("_t", "_bits")
 
 
+def planes_for(rows: int, dim: int, tables: int = 8, bucket_rows: int = 32, seed: int = 7) -> SignPlanes:
+    """As many planes a table as leave about ``bucket_rows`` rows in a bucket: they grow with the table."""
+    return SignPlanes(max(1, min(24, round(math.log2(max(rows, 1) / bucket_rows)))), tables, dim, seed)
+
+
+def probed(df: DataFrame, planes: SignPlanes, weak: int, vector: str = "vec") -> DataFrame:
+    """Like ``bucketed``, with the row once per bucket to be asked: ``2 ** weak`` of each table."""
+    tables = df.select("*", F.posexplode(probed_buckets(vector, planes, weak)).alias("_t", "_asked"))
+    each = tables.select(*df.columns, "_t", F.explode("_asked").alias("_bits"))
+    return each.select(*df.columns, F.struct(F.col("_t").alias("t"), F.col("_bits").alias("bits")).alias("bucket"))
+
+
 def approximate_neighbours(
     queries: DataFrame,
     rows: DataFrame,
@@ -150,16 +164,25 @@ def approximate_neighbours(
     measure: str = "cosine",
     with_self: bool = False,
     block_rows: int = 32768,
+    weak: int = 0,
 ) -> DataFrame:
     """Like ``exact_neighbours``, among rows on the same side of all planes of some table.
 
+    With ``weak``, a query asks for the rows on either side of its ``weak`` nearest planes of a table, which
+    finds more with fewer tables and smaller buckets (see ``planes_for``). The rows stay in one bucket a table.
+
     A bucket that holds a large share of the rows is cut into blocks like the
     whole table in the exact search. Rows without a vector take no part. The sizes of
     the buckets are broadcast if there can be only few, else joined.
     """
     known = F.col("vec").isNotNull()
     placed = stage(bucketed(rows.filter(known).select("id", "vec"), planes), "buckets")
-    asked = placed if queries is rows else bucketed(queries.filter(known).select("id", "vec"), planes)
+    if weak:
+        asked = stage(probed(queries.filter(known).select("id", "vec"), planes, weak), "probes")
+    elif queries is rows:
+        asked = placed
+    else:
+        asked = bucketed(queries.filter(known).select("id", "vec"), planes)
     scored = block_cells(
         asked,
         placed,

@@ -125,3 +125,37 @@ def test_interval_of_a_sample_holds_the_full_recall(spark):
     part = knn.recall_interval(knn.exact_neighbours(asked, rows, 3), knn.approximate_neighbours(asked, rows, planes, 3)).first()
     whole = knn.recall(knn.exact_neighbours(rows, rows, 3), knn.approximate_neighbours(rows, rows, planes, 3)).first()
     assert 50 < part.queries < 150 and part.low <= whole.recall <= part.high
+
+
+@pytest.mark.parametrize("block_rows", [4096, 9])
+def test_probes_reach_across_the_nearest_planes(vectors, block_rows):
+    data, df = vectors
+    planes = SignPlanes(planes=5, tables=2, dim=8, seed=5)
+    along = {i: planes.normals @ v for i, v in data.items()}
+
+    def reached(q, c):
+        for x, y in zip(along[q], along[c]):
+            near = np.argsort(np.abs(x), kind="stable")[:2]
+            if all((a > 0) == (b > 0) for i, (a, b) in enumerate(zip(x, y)) if i not in near):
+                return True
+        return False
+
+    got = knn.approximate_neighbours(df, df, planes, 3, "agreement", block_rows=block_rows, weak=2)
+    assert found(got) == best(data, data, 3, agreement, reached)
+
+
+def test_recall_and_share_of_probes_on_grouped_vectors(spark):
+    draw = np.random.RandomState(3)
+    centres = draw.randn(300, 32)
+    rows = [(i, [float(x) for x in centres[i % 300] + 0.25 * draw.randn(32)]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    planes = knn.planes_for(len(rows), 32, tables=2)
+    asked = df.filter("id % 10 = 0")
+    share = knn.probed(asked, planes, 2).select("bucket").join(knn.bucketed(df, planes).select("bucket"), "bucket").count() / (600 * 6000)
+    recall = knn.recall(knn.exact_neighbours(asked, df, 3), knn.approximate_neighbours(asked, df, planes, 3, weak=2)).first()["recall"]
+    print(f"planes {planes.planes}, recall {recall:.3f}, compared {share:.4f} of all pairs, counted once per table")
+    assert recall >= 0.9 and share < 0.05
+
+
+def test_planes_grow_with_the_table():
+    assert [knn.planes_for(n, 8).planes for n in (0, 1, 64, 2000, 10**6, 10**12)] == [1, 1, 1, 6, 15, 24]
