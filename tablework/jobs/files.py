@@ -80,6 +80,20 @@ SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS po
 """
 
 
+def compressed_records(spark, folder):
+    """Documents in gzip files of records, as many as the ranges of ids, cut back as streams."""
+    path = _folder(spark, "packed")
+    text = F.concat(F.col("doc_id").cast("string"), F.lit("\n"), F.coalesce("text", F.lit("")))
+    marked = table(spark, folder, "documents").select("doc_id", F.concat(F.lit("<TEXT><BODY>"), text, F.lit("</BODY></TEXT>")).alias("value"))
+    marked.repartitionByRange("doc_id").select("value").write.option("compression", "gzip").text(path)
+    found = read_records(spark, f"{path}/*.gz", encoding="UTF-8")
+    head = F.instr("text", "\n")
+    return found.select(F.substring("text", F.lit(1), head - 1).cast("bigint").alias("doc_id"), F.substring("text", head + 1, F.length("text")).alias("text"))
+
+
+COMPRESSED_SQL = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
+
+
 def latin_stories(spark, folder):
     """Documents as ISO-8859-1 story files, with newlines, an end mark and numbered files."""
     path = _folder(spark, "latin")
@@ -248,6 +262,7 @@ WITH {SIGNATURES_SQL} SELECT doc_id, array_to_string(sig, ',') AS sig FROM signa
 QUERIES = {
     "delimited_roundtrip": delimited_roundtrip,
     "records_roundtrip": records_roundtrip,
+    "compressed_records": compressed_records,
     "latin_stories": latin_stories,
     "headerless_malformed": headerless_malformed,
     "union_of_files": union_of_files,
@@ -263,6 +278,7 @@ QUERIES = {
 SQL = {
     "delimited_roundtrip": DELIMITED_SQL,
     "records_roundtrip": RECORDS_SQL,
+    "compressed_records": COMPRESSED_SQL,
     "latin_stories": LATIN_SQL,
     "headerless_malformed": HEADERLESS_SQL,
     "union_of_files": UNION_FILES_SQL,

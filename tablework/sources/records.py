@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tablework.plans import dense_index, stage
 
+_COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
+
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(line, text)``: all lines of the files in order of their names, numbered from 0.
@@ -46,11 +49,14 @@ def read_records(
     line file and no task holds a whole one. The bytes are decoded after the
     split. ``pos`` counts the records of a file: rows are numbered inside a
     split, and the number of records in the earlier splits of the file is added.
+
+    Compressed files (known by their ending) are read as streams, those that cannot be split by one
+    task each, and a second time for their true size, which the file system does not know.
     """
+    paths = paths if isinstance(paths, str) else list(paths)
+    scan = spark.read.option("lineSep", closing).text(paths)
     pieces = (
-        spark.read.option("lineSep", closing)
-        .text(paths if isinstance(paths, str) else list(paths))
-        .select(
+        scan.select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_size").alias("_size"),
             F.col("_metadata.file_block_start").alias("_split"),
@@ -68,6 +74,8 @@ def read_records(
         F.max("_at").alias("_last"),
         F.count_if("_found").alias("_records"),
     )
+    if any(re.search(_COMPRESSED, name) for name in scan.inputFiles()):
+        splits = _true_sizes(splits, spark.read.option("lineSep", opening).text(paths), opening)
     whole = Window.partitionBy("path")
     earlier = whole.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     placed = splits.select(
@@ -103,3 +111,18 @@ def read_records(
         .otherwise(F.col("file_no") * stride + pos)
     )
     return records.join(files, "path").select("path", "file_no", pos.alias("pos"), checked.alias("doc_id"), text)
+
+
+def _true_sizes(splits: DataFrame, cut_at_openings: DataFrame, opening: str) -> DataFrame:
+    """``splits`` with the bytes that compressed files hold.
+
+    Cut at the opening marker, all pieces of a file but the last end with one: their bytes and markers
+    add up to the file, short of a marker if the file ends with one, and such a file is not closed either way.
+    """
+    sizes = (
+        cut_at_openings.select(F.col("_metadata.file_path").alias("path"), F.octet_length("value").alias("_bytes"))
+        .filter(F.col("path").rlike(_COMPRESSED))
+        .groupBy("path")
+        .agg((F.sum("_bytes") + (F.count("*") - 1) * len(opening.encode())).alias("_true"))
+    )
+    return splits.join(sizes, "path", "left").withColumn("_size", F.coalesce("_true", "_size")).drop("_true")

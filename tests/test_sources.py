@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -100,3 +102,19 @@ def test_files_with_equal_numbers(spark, tmp_path):
         read_records(spark, str(tmp_path), stride=100).collect()
     with pytest.raises(Exception, match="more records than the stride"):
         read_records(spark, str(tmp_path / "a-7.sgm"), stride=1).collect()
+
+
+def test_compressed_files_hold_the_records_of_the_plain_ones(spark, tmp_path):
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    plain.mkdir(), packed.mkdir()
+    want = make_stories(plain)
+    more = {"news-004": "<BODY>one</BODY><BODY>two</BODY>", "news-005": "no marker at all", "news-006": "<BODY>a</BODY>x<BODY>", "news-007": "<BODY>a</BODY>\n", "news-008": ""}
+    for name, text in more.items():
+        (plain / f"{name}.sgm").write_text(text)
+    for file in plain.iterdir():
+        with gzip.open(packed / f"{file.name}.gz", "wb") as out:
+            out.write(file.read_bytes())
+    read = [{(r.path.rpartition("/")[2].removesuffix(".gz"), r.pos): r.text for r in read_records(spark, str(p)).collect()} for p in (plain, packed)]
+    assert read[0] == read[1] and len(read[0]) == len(want) + 4
+    both = read_records(spark, [str(plain), str(packed)]).collect()
+    assert len(both) == 2 * len(read[0])
