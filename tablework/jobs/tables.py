@@ -253,11 +253,9 @@ def series_means(spark, folder):
     wide = series.widen(slots, ["user_id", "span"], "slot", "one")
     names = series.slot_names()
     filled = F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(i + 1)) for i, c in enumerate(names)]), lambda x: x.isNotNull())
-    shape = wide.select(
-        "user_id", "span", F.array_join(filled.cast("array<string>"), ",").alias("slots"), F.greatest(*names).alias("largest")
-    )
-    means = series.mean_popularity(wide, ["user_id", "span"])
-    return means.join(shape, ["user_id", "span"]).orderBy("user_id", "span")
+    # the shape goes along as keys, so the wide rows are made once
+    shaped = wide.withColumns({"slots": F.array_join(filled.cast("array<string>"), ","), "largest": F.greatest(*names)})
+    return series.mean_popularity(shaped, ["user_id", "span", "slots", "largest"]).orderBy("user_id", "span")
 
 
 SERIES_SQL = """
