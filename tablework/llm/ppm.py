@@ -153,9 +153,14 @@ class PPM:
         rows = rows.withColumn("part", F.col("gram").bitwiseAND(mask)).withColumn(
             "context", F.shiftright("part", _SYMBOL_BITS)
         )
-        found = rows.join(self.contexts, ["j", "context"], "left").join(
-            self.grams.withColumnRenamed("gram", "part"), ["j", "part"], "left"
-        )
+
+        def look_up(level: str, hint: str) -> DataFrame:
+            contexts = self.contexts.filter(level).hint(hint)
+            parts = self.grams.filter(level).withColumnRenamed("gram", "part").hint(hint)
+            return rows.filter(level).join(contexts, ["j", "context"], "left").join(parts, ["j", "part"], "left")
+
+        # contexts of at most one byte are few (with their symbols 66,306 rows) and every gram has them
+        found = look_up("j < 2", "broadcast").unionByName(look_up("j > 1", "merge"))
         seen = F.when(F.col("t").isNotNull(), F.struct("j", "n", "t", "d", "e"))
         steps = F.sort_array(F.collect_list(seen), asc=False)
         # from the longest context that occurs down to the first with the symbol
