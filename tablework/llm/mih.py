@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tablework.plans import block_cells, stage
 
@@ -37,7 +38,9 @@ class BinaryCodes:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length one; scaled by their largest component first, so no square is lost."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def fit_codes(vectors: np.ndarray, k: int, bits: int = BITS, rounds: int = 20, seed: int = 1) -> BinaryCodes:
@@ -131,13 +134,21 @@ def _matrix(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
     return lists.flatten().to_numpy().reshape(len(lists), -1).astype(kind, copy=False)
 
 
+def _scaled(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors over the power of two next to their largest component: their angles stay exactly the
+    same, and squares of very large or small components are kept."""
+    vectors = _matrix(column, np.float64)
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -power)
+
+
 def _search(radius: int | None, take: int):
     """A cell: the ``take`` best rows of the right side within the radius, for each left row."""
 
     def cell(key: tuple, queries: pa.Table, rows: pa.Table) -> pa.Table:
         out_q, out_r, out_s = [], [], []
         if queries.num_rows and rows.num_rows:
-            vectors, own = _matrix(rows["vector"], np.float64), _matrix(queries["vector"], np.float64)
+            vectors, own = _scaled(rows["vector"]), _scaled(queries["vector"])
             norms, own_norms = np.linalg.norm(vectors, axis=1), np.linalg.norm(own, axis=1)
             nodes, names = rows["node"].to_numpy(), queries["node"].to_numpy()
             index = _Index(_matrix(rows["code"], np.int32).astype(np.uint16))
@@ -175,8 +186,9 @@ def nearest(
 
     Ranked from 1 by falling score, ties by the smaller id; fewer rows if there are fewer.
     Rows without an id, and vectors that are null, zero or hold null or non-finite
-    components, take no part; nor do those of another dimension than most rows have. Rows
-    equal in id and vector are one. Other columns are not read.
+    components, take no part. Vectors of several dimensions have no angle: that is an error.
+    Rows equal in id and vector are one. Other columns are not read. Components are taken
+    as double, or float if the table has float.
 
     Equal vectors are one entry of the index with its k + 1 smallest ids, so a very common
     vector is one entry too. Codes and radius are fitted on at most FIT_ROWS vectors; every
@@ -185,16 +197,18 @@ def nearest(
     cosine, in double precision. Queries with fewer than ``k`` rows within the radius are
     searched again without it.
     """
+    of = "float" if isinstance(table.select(vector).schema[0].dataType.elementType, FloatType) else "double"
     rows = table.select(
-        F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("vector"), is_query.alias("asks")
+        F.col(row_id).cast("long").alias("id"), F.col(vector).cast(f"array<{of}>").alias("vector"), is_query.alias("asks")
     ).filter(F.col("id").isNotNull() & usable("vector"))
     rows = stage(rows, "vectors")
-    sizes = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if sizes is None:
+    sizes = rows.agg(F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("most")).first()
+    if sizes["most"] is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
-    rows = rows.filter(F.size("vector") == sizes["d"])
+    if sizes["least"] < sizes["most"]:
+        raise ValueError(f"vectors of {sizes['least']} to {sizes['most']} dimensions have no angle")
     least = Window.partitionBy("vector").orderBy("id")
-    kept = rows.select("id", "vector").withColumn("r", F.dense_rank().over(least)).filter(F.col("r") <= k + 1)
+    kept = rows.select("id", "vector").distinct().withColumn("r", F.row_number().over(least)).filter(F.col("r") <= k + 1)
     entries = stage(
         kept.groupBy("vector").agg(F.min("id").alias("node"), F.sort_array(F.collect_set("id")).alias("ids")), "entries"
     )
@@ -211,7 +225,7 @@ def nearest(
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("vector"), lists], names=["node", "vector", "code"])
 
     index = stage(
-        entries.select("node", "vector").mapInArrow(encode, "node long, vector array<float>, code array<int>"), "codes"
+        entries.select("node", "vector").mapInArrow(encode, f"node long, vector array<{of}>, code array<int>"), "codes"
     ).withColumn("all", F.lit(0))
     asked = stage(
         rows.filter("asks").select("id", "vector").distinct().join(entries.select("vector", "node"), "vector").select("id", "node"),
