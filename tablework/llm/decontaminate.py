@@ -93,6 +93,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     doc_words = docs.select(F.explode(words(F.col("text").cast("string"))).alias("word"))
     keys = stage(rarest_tokens(windows, doc_words).withColumnRenamed("words", "sought"), "prefixes")
     blocks = max(1, -(-keys.count() // block))
+    if blocks > 1:
+        # all passes must see the same numbers
+        cut = stage(cut, "numbered")
     placed = cut.select("*", F.posexplode_outer("words").alias("at", "word"))
     begin = F.col("at") - F.col("offset")
     fits = (
