@@ -187,7 +187,7 @@ def _first() -> Column:
     return F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash", "line")
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = 1) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers (from 0) of the lines that go, for documents
     that lose any.
 
@@ -195,8 +195,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
     replaced away. Lines are what newlines part; earlier means a smaller doc_id (null
     last; then the smaller xxhash64 of the text), then a smaller line number. Rows equal
     in id and text count as one. Lines of fewer than ``min_chars`` characters go only if an
-    earlier line equals them, they have ``exact_chars`` (by default ``min_chars``) characters
-    or more, and are not blank: short lines of white space part paragraphs and stay.
+    earlier line equals them, they have ``exact_chars`` characters or more, and are not blank: short lines of white space part paragraphs and stay.
 
     Equal lines are counted first, so a frequent line is one row from there on. Lines one
     edit apart agree outside a window that holds the edit; only lines that agree with
@@ -210,7 +209,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
     rows = rows.filter(F.col("text").isNotNull())
     seen = stage(
         rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-            _occurrences(min_chars, min_chars if exact_chars is None else exact_chars), "a long, b long, doc_id long, text_hash long, line int, keys array<long>"
+            _occurrences(min_chars, exact_chars), "a long, b long, doc_id long, text_hash long, line int, keys array<long>"
         ),
         "lines",
     )
@@ -272,7 +271,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
     return stage(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("lines")), "gone")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = 1) -> DataFrame:
     """``docs`` with ``text`` without the lines that ``dropped_lines`` names, and n_lines,
     n_dropped and dropped (their numbers, sorted). Null texts stay null, with no lines; an
     empty text is one empty line. Columns of these names are replaced; others stay, whatever

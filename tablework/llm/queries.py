@@ -33,7 +33,9 @@ def fold(modulus: int, remainder: int):
 
 def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return score_texts(docs.select("doc_id", "text", (~fold(7, 2)).alias("learn")))
+    found = score_texts(docs.select("doc_id", "text", (~fold(7, 2)).alias("learn")))
+    # null ids are in no fold: not learned from, and not held out
+    return found.withColumn("held_out", F.col("held_out") & F.col("doc_id").isNotNull())
 
 
 def languages(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +90,7 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return dedup_lines(docs.select("doc_id", "text"), exact_chars=1)
+    return dedup_lines(docs.select("doc_id", "text"))
 
 
 def near_dups(spark: SparkSession, folder: str) -> DataFrame:

@@ -56,7 +56,7 @@ def test_against_all_pairs(spark, documents):
     want = brute(documents)
     df = spark.createDataFrame([(d, t, 1) for d, t in documents], "doc_id long, text string, n_lines int")
     text_of = {}
-    joined = dedup_lines(df.withColumn("_lines", df.text)).collect()
+    joined = dedup_lines(df.withColumn("_lines", df.text), exact_chars=10).collect()
     assert len(joined) == len(documents)
     for row in joined:
         text_of.setdefault(row.doc_id, set()).add((row["_lines"], row.text, row.n_lines, row.n_dropped))
@@ -85,7 +85,7 @@ def test_one_line_in_every_document(spark):
 def test_exact_repeats_of_short_lines(spark):
     docs = [(1, "Les.\n\n  \nab\nLes."), (2, "Les.\n\n  \nab"), (3, "Lez.\nab \n日本"), (4, "日本\n\u3000\nLes.\na line of some length"), (5, "\u3000\na line of some lengths\nb"), (None, "b\nLes.")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    found = {r.doc_id: (r.text, r.dropped) for r in dedup_lines(df, exact_chars=1).collect()}
+    found = {r.doc_id: (r.text, r.dropped) for r in dedup_lines(df).collect()}
     assert found == {
         1: ("Les.\n\n  \nab", [4]),
         2: ("\n  ", [0, 3]),
@@ -107,7 +107,7 @@ def test_short_lines_against_all_pairs(spark, documents):
             seen.add(line)
         want[doc_id, before] = kept
     df = spark.createDataFrame([(d, t) for d, t in documents], "doc_id long, text string")
-    rows = dedup_lines(df.withColumn("_lines", df.text), exact_chars=1).collect()
+    rows = dedup_lines(df.withColumn("_lines", df.text)).collect()
     assert len(rows) == len(documents)
     for r in rows:
         if r["_lines"] is not None:
