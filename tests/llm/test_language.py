@@ -1,8 +1,12 @@
 import random
+from collections import Counter
+from itertools import combinations
+from math import log
 
+import pyarrow as pa
 import pytest
 
-from tablework.llm.language import fit_languages, identify
+from tablework.llm.language import BITS, PENALTY, _grams, fit_languages, identify, mixtures
 
 SYLLABLES = {"en": ["the", "and", "ing", "ther", "wh"], "de": ["der", "sch", "ung", "ein", "ich"], "fr": ["eau", "éa", "que", "ion", "ça"]}
 
@@ -57,3 +61,39 @@ def test_nothing_learned(spark):
     none = fit_languages(spark.createDataFrame([], "text string, lang string"))
     row = identify(df, none).first()
     assert (row.lang_pred, row.score, row.known) == ("und", 0, 0)
+
+
+def expectation_maximisation(counts, model, some, rounds=300):
+    """(shares, penalised log likelihood) of the languages ``some`` and the background, by plain loops."""
+    like = {g: [float(model.likelihood[g, j]) for j in some] + [2.0**-BITS] for g in counts}
+    total, share = sum(counts.values()), [1 / (len(some) + 1)] * (len(some) + 1)
+    for _ in range(rounds):
+        sums = [0.0] * len(share)
+        for g, n in counts.items():
+            parts = [s * x for s, x in zip(share, like[g])]
+            for j, x in enumerate(parts):
+                sums[j] += n * x / sum(parts)
+        share = [x / total for x in sums]
+    fit = sum(n * log(sum(s * x for s, x in zip(share, like[g]))) for g, n in counts.items())
+    return share, fit - PENALTY * len(some) * log(total + 1) / 2
+
+
+def test_sets_and_shares_against_all_sets(model):
+    """Each set of the three languages is tried in full: the chosen one must be the best, with its shares."""
+    rng = random.Random(8)
+    texts = []
+    for i in range(24):
+        langs = rng.sample(list(SYLLABLES), 1 + i % 3)
+        texts.append("  " + " ".join(text(rng, lang, rng.randrange(20, 60)) for lang in langs) + " zzxqj" * (i % 4) + "  ")
+    found = mixtures(model, pa.array(texts))
+    k, right = len(model.langs), 0
+    for row, body in zip(found, texts):
+        counts = Counter(_grams(pa.array([body]))[0].tolist())
+        tried = {some: expectation_maximisation(counts, model, some) for n in range(1, k + 1) for some in combinations(range(k), n)}
+        best = max(tried, key=lambda some: tried[some][1])
+        mine = tuple(j for j in range(k) if row[j] > 0)
+        assert tried[best][1] - tried[mine][1] <= 0.01 * abs(tried[best][1])
+        right += mine == best
+        for j, x in zip([*mine, k], tried[mine][0]):
+            assert abs(row[j] - x) < 0.03, (row, tried[mine])
+    assert right >= 22
