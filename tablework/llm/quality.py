@@ -62,7 +62,9 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
-def _train(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray, some: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
+def _train(
+    features: np.ndarray, offsets: np.ndarray, labels: np.ndarray, some: np.ndarray, seed: int = 1, passes: int = PASSES
+) -> tuple[np.ndarray, float]:
     """(weights, bias): dual coordinate descent on the rows ``some``, which hold both labels."""
     size, n, positive = 1 << BITS, len(some), int(labels[some].sum())
     p, q = np.full(size, PSEUDO), np.full(size, PSEUDO)
@@ -74,7 +76,7 @@ def _train(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray, some:
     scale = 1 / np.sqrt(np.maximum(np.diff(offsets), 1))
     weights, bias, dual = np.zeros(size), 0.0, np.zeros(len(labels))
     rng = np.random.default_rng(seed)
-    for _ in range(PASSES):
+    for _ in range(passes):
         most = 0.0
         for i in rng.permutation(some):
             own = features[offsets[i] : offsets[i + 1]]
