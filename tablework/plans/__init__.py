@@ -3,6 +3,6 @@
 from tablework.plans.blocks import block_cells
 from tablework.plans.ranges import dense_index, running_total
 from tablework.plans.skew import join_by_count, join_lookup
-from tablework.plans.staging import drop_staged, spread, stage, unnest
+from tablework.plans.staging import StagedTables, drop_staged, spread, stage, unnest
 
-__all__ = ["block_cells", "dense_index", "drop_staged", "join_by_count", "join_lookup", "running_total", "spread", "stage", "unnest"]
+__all__ = ["StagedTables", "block_cells", "dense_index", "drop_staged", "join_by_count", "join_lookup", "running_total", "spread", "stage", "unnest"]

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 # Folders made for local sessions, by application.
 _own: dict[str, str] = {}
 
+# Paths that ``stage`` has written inside the open ``StagedTables`` of a thread.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one behind ``spark.checkpoint.dir``.
@@ -32,10 +36,36 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own[context.applicationId]
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete all staged tables of this application; results that still read them are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_dir(spark))
+
+
+class StagedTables:
+    """The tables that ``stage`` writes inside the ``with`` block, in this thread, so that a
+    chain of jobs holds on to its last result only. An inner block has its own tables."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> StagedTables:
+        self._before = _noted.set(self.paths)
+        return self
+
+    def __exit__(self, *failure) -> None:
+        _noted.reset(self._before)
+
+    def drop(self, but: DataFrame) -> None:
+        """Delete these tables except those that ``but`` reads; other results that read them are lost."""
+        needed = {file.rsplit("/", 2)[-2] for file in but.inputFiles()}
+        for path in [p for p in self.paths if p.rsplit("/", 1)[1] not in needed]:
+            _delete(self.spark, path)
+            self.paths.remove(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -44,9 +74,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     The table outlives lost executors, later reads take only the columns they
     need, and its size on disk tells the planner whether a join may broadcast
     it (``spark.sql.autoBroadcastJoinThreshold``) or has to shuffle. It stays until
-    ``drop_staged``.
+    ``drop_staged`` or ``StagedTables.drop``.
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _noted.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tablework.plans import block_cells, dense_index, join_by_count, running_total, stage, unnest
+from tablework.plans import StagedTables, block_cells, dense_index, join_by_count, running_total, stage, unnest
 
 
 def test_dense_index_is_the_position_in_order(spark):
@@ -26,6 +26,26 @@ def test_running_total_over_ranges(spark):
     assert got == want
 
 
+def test_staged_tables_of_a_block_are_dropped_but_for_the_last(spark):
+    outer = stage(spark.range(3), "outer")
+    with StagedTables(spark) as tables:
+        first = stage(outer, "first")
+        with StagedTables(spark) as inner:
+            second = stage(first, "second")
+            stage(first.filter("false"), "empty")
+            inner.drop(but=second)
+        assert (len(tables.paths), len(inner.paths)) == (1, 1)
+        third = stage(second, "third")
+        tables.drop(but=third)
+        assert len(tables.paths) == 1 and third.count() == 3
+    # written outside the block
+    after = stage(third, "after")
+    assert len(tables.paths) == 1 and outer.count() == after.count() == second.count() == 3
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(first.inputFiles()[0])
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_staged_table_reads_back(spark):
     df = spark.range(10).withColumn("a", F.array("id"))
     back = stage(df, "t")
