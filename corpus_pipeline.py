@@ -15,7 +15,7 @@ from tablework.llm.language import fit_languages, identify
 from tablework.llm.linededup import dedup_lines
 from tablework.llm.minhash import near_duplicates
 from tablework.llm.pieces import read_model, tokenize
-from tablework.plans import stage
+from tablework.plans import StagedTables, stage
 
 #: A document goes if its languages explain less than this share of it.
 LEAST_KNOWN = 0.25
@@ -75,7 +75,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. Once a stage is written, what it was made from is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+    with StagedTables(spark) as tables:
+        for name, step in STAGES:
+            docs = stage(step(spark, docs, sf_dir), name)
+            tables.drop(but=docs)
     return docs
