@@ -173,7 +173,8 @@ def median_mode(spark, folder):
         F.lit(None).cast("double").alias("no_tax"),
     )
     columns = [*MEASURES, "some_tax", "no_tax"]
-    return profile.median(lines, columns).join(profile.mode(lines, columns), "column_name")
+    counts = profile.value_counts(lines, columns)
+    return profile.median(lines, columns, counts).join(profile.mode(lines, columns, counts=counts), "column_name")
 
 
 MEDIAN_MODE_SQL = """

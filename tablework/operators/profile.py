@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablework.functions.numeric import pearson
-from tablework.plans import running_total
+from tablework.plans import running_total, stage
 
 # Rank error of the sketch that brackets the median, as one part in ...
 _SKETCH_ACCURACY = 10000
@@ -40,13 +40,20 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
-def median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], type_name: str = "double") -> DataFrame:
+    """``(column_name, value, n)`` of every value, nulls with 0, written once for several statistics."""
+    counts = by_column(df, columns, type_name).groupBy("column_name", "value").agg(F.count("value").alias("n"))
+    return stage(counts, "value_counts")
+
+
+def median(df: DataFrame, columns: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
     """Exact median of every column as ``(column_name, median)``; null for a column of nulls.
 
     A sketch gives, in one scan, bounds that surely enclose the middle ranks.
     The second scan counts the values between the bounds one by one and all
     values below them as a single number; running totals over that small part
-    then find the middle. No task ever holds a column's distinct values.
+    then find the middle. No task ever holds a column's distinct values. With ``counts``, the
+    ``value_counts`` of ``df`` as doubles, these are read instead of the second scan.
     """
     low, high = 0.5 - _BRACKET, 0.5 + _BRACKET
     found = df.agg(
@@ -73,14 +80,14 @@ def median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     lowest = per_column({i: found[f"q_{i}"][0] for i in filled})
     highest = per_column({i: found[f"q_{i}"][1] for i in filled})
     total = per_column({i: found[f"n_{i}"] for i in filled})
-    counts = (
-        by_column(df, [columns[i] for i in filled])
-        .filter(F.col("value") <= highest)
-        .select("column_name", F.when(F.col("value") >= lowest, F.col("value")).alias("value"))
+    values = by_column(df, [columns[i] for i in filled]).withColumn("n", F.lit(1)) if counts is None else counts
+    bracket = (
+        values.filter(F.col("value") <= highest)
+        .select("column_name", F.when(F.col("value") >= lowest, F.col("value")).alias("value"), "n")
         .groupBy("column_name", "value")
-        .agg(F.count("*").alias("rows"))
+        .agg(F.sum("n").alias("rows"))
     )
-    ranked = running_total(counts, "column_name", [F.col("value").asc_nulls_first()], "rows", "upto")
+    ranked = running_total(bracket, "column_name", [F.col("value").asc_nulls_first()], "rows", "upto")
 
     def value_at(rank: Column) -> Column:
         holds = (F.col("upto") >= rank) & (F.col("upto") - F.col("rows") < rank)
@@ -96,13 +103,14 @@ def median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return found.unionByName(blank)
 
 
-def mode(df: DataFrame, columns: Sequence[str], type_name: str = "double") -> DataFrame:
+def mode(df: DataFrame, columns: Sequence[str], type_name: str = "double", counts: DataFrame | None = None) -> DataFrame:
     """Most frequent value of every column, the smallest one on a tie: ``(column_name, mode, n)``.
 
     A column of nulls has the mode null with 0 rows. ``type_name`` holds the values: take
-    "decimal(38,0)" for bigints above 2^53.
+    "decimal(38,0)" for bigints above 2^53. ``counts``: the ``value_counts`` of ``df``, if at hand.
     """
-    counts = by_column(df, columns, type_name).groupBy("column_name", "value").agg(F.count("value").alias("n"))
+    if counts is None:
+        counts = by_column(df, columns, type_name).groupBy("column_name", "value").agg(F.count("value").alias("n"))
     # nulls are counted as 0 and so come last
     first = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value")))
     return counts.groupBy("column_name").agg(first.alias("top")).select(

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablework.operators import profile
 
@@ -87,3 +88,14 @@ def test_arg_max_takes_the_largest_label_on_a_tie(spark):
     df = spark.createDataFrame([("a", 9.0, 1.0), ("c", 9.0, 0.0), ("b", 1.0, None)], "l string, x double, y double")
     found = {r.column_name: (r.label, r.value) for r in profile.arg_max(df, "l", ["x", "y"]).collect()}
     assert found == {"x": ("c", 9.0), "y": ("a", 1.0)}
+
+
+def test_statistics_from_stored_counts(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (2.0, None), (9.0, None)], "a double, b double").withColumn("c", F.lit(None).cast("double"))
+    counts = profile.value_counts(df, ["a", "b", "c"])
+    for one, other in ((profile.median(df, ["a", "b", "c"], counts), profile.median(df, ["a", "b", "c"])),
+                       (profile.mode(df, ["a", "b", "c"], counts=counts), profile.mode(df, ["a", "b", "c"]))):
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert {r.column_name: r.median for r in profile.median(df, ["a", "b", "c"], counts).collect()} == {"a": 2.0, "b": 5.0, "c": None}
+    nothing = df.limit(0)
+    assert profile.median(nothing, ["a"], profile.value_counts(nothing, ["a"])).first()["median"] is None
