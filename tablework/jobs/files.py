@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablework.functions.text import story_line, words
@@ -19,7 +20,7 @@ from tablework.jobs.texts import (
 from tablework.jobs.words import REPORT_SQL, report_sections
 from tablework.operators import clean, lsh
 from tablework.operators.cooccur import as_matrix, cooccurrence
-from tablework.plans import stage
+from tablework.plans import join_lookup, stage
 from tablework.plans.staging import scratch_dir
 from tablework.sinks import (
     write_adjacency,
@@ -58,10 +59,22 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM
 """
 
 
+def _places(records, group):
+    """``records`` of files in folders per ``group``, with pos counted over all files of a folder, in order of their names.
+
+    A number per file is all that is put in order; a folder may have any number of files.
+    """
+    files = records.groupBy("path", group.alias("_group")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("_group").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(files.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "starts")
+    return join_lookup(records, starts, "path").withColumn("pos", F.col("pos") + F.col("start"))
+
+
 def records_roundtrip(spark, folder):
-    """Documents written as marked-up text files, one folder per source, cut back into records.
+    """Documents written as marked-up text files, a folder per source, cut back into records.
 
     The records of a source keep their order, so the position says which document it was.
+    A frequent source is several files: ranges of its ids.
     """
     path = _folder(spark, "stories")
     marked = table(spark, folder, "documents").select(
@@ -69,9 +82,10 @@ def records_roundtrip(spark, folder):
         F.concat(F.lit("<TEXT><BODY>"), F.col("text"), F.lit("</BODY></TEXT>")).alias("value"),
         "doc_id",
     )
-    marked.repartition("source").sortWithinPartitions("source", "doc_id").drop("doc_id").write.partitionBy("source").text(path)
-    records = read_records(spark, f"{path}/*/*.txt", encoding="UTF-8")
+    ordered = marked.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+    ordered.drop("doc_id").write.partitionBy("source").text(path)
     source = F.regexp_extract("path", "/source=([^/]*)/", 1)
+    records = _places(read_records(spark, f"{path}/*/*.txt", encoding="UTF-8"), source)
     return records.select(source.alias("source"), "pos", "text")
 
 
@@ -97,7 +111,7 @@ COMPRESSED_SQL = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
 def latin_stories(spark, folder):
     """Documents as ISO-8859-1 story files, with newlines, an end mark and numbered files."""
     path = _folder(spark, "latin")
-    # one file per hundredth of the ids, its number in its name
+    # a folder per remainder of the ids, its number in its name, with a file per range of ids
     stories = table(spark, folder, "documents").select(
         F.pmod("doc_id", F.lit(7)).alias("file"),
         "doc_id",
@@ -106,16 +120,15 @@ def latin_stories(spark, folder):
             F.lit("REUTER &#3;</BODY>"),
         ).alias("value"),
     )
-    ordered = stories.repartition("file").sortWithinPartitions("file", "doc_id").drop("doc_id")
+    ordered = stories.repartitionByRange("file", "doc_id").sortWithinPartitions("file", "doc_id").drop("doc_id")
     ordered.write.partitionBy("file").option("encoding", "ISO-8859-1").option("header", False).option("quote", "").option(
         "sep", "\x01"
     ).option("escapeQuotes", False).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
-    records = read_records(spark, f"{path}/file=*/*.csv")
-    return records.select(
-        F.regexp_extract("path", "/file=([0-9]+)/", 1).cast("bigint").alias("file"), "pos", story_line("text").alias("story")
-    )
+    file = F.regexp_extract("path", "/file=([0-9]+)/", 1).cast("bigint")
+    records = _places(read_records(spark, f"{path}/file=*/*.csv"), file)
+    return records.select(file.alias("file"), "pos", story_line("text").alias("story"))
 
 
 LATIN_SQL = r"""

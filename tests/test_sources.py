@@ -2,7 +2,9 @@ import gzip
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from tablework.jobs import files
 from tablework.operators import clean
 from tablework.sources import read_delimited, read_first, read_records, read_union
 
@@ -118,3 +120,12 @@ def test_compressed_files_hold_the_records_of_the_plain_ones(spark, tmp_path):
     assert read[0] == read[1] and len(read[0]) == len(want) + 4
     both = read_records(spark, [str(plain), str(packed)]).collect()
     assert len(both) == 2 * len(read[0])
+
+
+def test_places_count_over_the_files_of_a_folder(spark):
+    rows = [(f"/g={g}/part-{file}", pos) for g in "ab" for file in range(4) for pos in range(file * 3 + (g == "a"))]
+    df = spark.createDataFrame(rows, "path string, pos int").repartition(3)
+    got = sorted(tuple(r) for r in files._places(df, F.substring("path", 4, 1)).select("path", "pos").collect())
+    want = [(path, sum(p[:4] == path[:4] for p, _ in rows[:i])) for i, (path, _) in enumerate(rows)]
+    assert got == sorted(want)
+    assert files._places(df.limit(0), F.substring("path", 4, 1)).collect() == []
