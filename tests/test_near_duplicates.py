@@ -151,3 +151,45 @@ def test_sets_matrix_and_corner(spark):
     }
     lines = sorted(tuple(r) for r in sets.corner_lines(corner, "d", 2).collect())
     assert lines == [(0, "abcde", 0, 1), (1, "bcdef", 1, 1)]
+
+
+def test_residues_without_division_equal_those_with_it():
+    from tablework.functions import hashing
+
+    draw = np.random.RandomState(5)
+    a, b = (np.array(c, dtype=np.int64) for c in zip(*MinHashFamily(size=9, seed=2).coefficients))
+    ends = np.array([0, 1, PRIME - 2, PRIME - 1])
+    for numbers in (ends, draw.randint(0, PRIME, 1500), np.array([-5, 7, PRIME, PRIME + 3, 2**32])):
+        want = [min((int(x) * int(n) + int(y)) % PRIME for n in numbers) for x, y in zip(a, b)]
+        assert hashing.min_hashes(numbers, a, b).tolist() == want
+    top = np.array([0, PRIME - 1, PRIME, PRIME * (PRIME - 1), PRIME * (PRIME - 1) - 1], dtype=np.uint64)
+    values = top.copy()
+    hashing._residues(values, np.empty_like(values))
+    assert values.tolist() == [int(v) % PRIME for v in top]
+
+
+def test_verified_pairs_stage_lines_not_sets(spark, monkeypatch):
+    staged = []
+
+    def noted(df, name):
+        staged.append(df.columns)
+        return df
+
+    monkeypatch.setattr(lsh, "stage", noted)
+    texts = {1: "alpha beta gamma", 2: "Alpha  beta gamma!", 3: "alpha beta gammo", 4: "abc", 5: None}
+    df = spark.createDataFrame(list(texts.items()), "d bigint, t string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (1, 4), (1, 5), (4, 5)], "a bigint, b bigint")
+    got = {(r.a, r.b): r.jaccard for r in lsh.verified_pairs(pairs, df, "d", "t").collect()}
+    assert got == {(1, 2): 1.0, (1, 3): 11 / 13, (2, 3): 11 / 13, (1, 4): 0.0, (1, 5): None, (4, 5): None}
+    # a set is many times its text; only lines are written, and no pair carries one
+    assert not any("shingles" in c for cols in staged for c in cols)
+    assert all("line" not in cols for cols in staged if "a" in cols)
+
+
+def test_low_bytes_bound_the_agreement(spark):
+    from tablework.functions.hashing import agreement, equal_bytes, low_bytes
+
+    df = spark.createDataFrame([([1, 300, 7], [1, 44, 7]), ([1, 2, 3], [4, 5, 6])], "x array<bigint>, y array<bigint>")
+    marks = df.select(agreement("x", "y").alias("all"), low_bytes("x").alias("p"), low_bytes("y").alias("q"))
+    got = [(r.all, r.low) for r in marks.select("all", equal_bytes("p", "q").alias("low")).collect()]
+    assert got == [(2 / 3, 1.0), (0.0, 0.0)]
