@@ -159,3 +159,26 @@ def test_recall_and_share_of_probes_on_grouped_vectors(spark):
 
 def test_planes_grow_with_the_table():
     assert [knn.planes_for(n, 8).planes for n in (0, 1, 64, 2000, 10**6, 10**12)] == [1, 1, 1, 6, 15, 24]
+
+
+@pytest.mark.parametrize("measure, score", [("cosine", cosine), ("agreement", agreement)])
+def test_bounds_give_the_best_without_scoring_every_pair(monkeypatch, measure, score):
+    import pyarrow as pa
+
+    draw = np.random.RandomState(6)
+    rows = draw.randn(900, 8) if measure == "cosine" else draw.randint(0, 300, (900, 70)) // 40
+    rows[10:14] = rows[9]
+    # the same bytes at the end, but other values
+    rows[20:24] = rows[19] if measure == "cosine" else rows[19] + 256
+    ids = draw.permutation(900)
+    side = pa.table({"id": pa.array(ids), "vec": pa.array(rows.tolist())})
+
+    def every_pair(q, c):
+        raise AssertionError("all pairs are scored")
+
+    monkeypatch.setitem(knn.MEASURES, measure, every_pair)
+    got = knn._nearest(measure, 3, False)(side.slice(0, 30), side)
+    data = dict(zip(ids.tolist(), rows))
+    want = [c for _, _, c in sorted(best(data, ids[:30].tolist(), 3, score), key=lambda x: (ids.tolist().index(x[0]), x[1]))]
+    assert got["neighbour"].to_pylist() == want
+    assert got["query"].to_pylist() == np.repeat(ids[:30], 3).tolist()
