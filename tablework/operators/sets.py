@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tablework.functions.text import letter_tokens, shingles
 from tablework.plans import dense_index, join_by_count, unnest
 
+#: An index of up to so many shingles is sent to every executor, so that no row of the matrix is shuffled to it.
+_INDEX_ROWS = 1_000_000
+
 
 def shingle_sets(df: DataFrame, row_id: str, text: str, k: int = 5, tokens=letter_tokens) -> DataFrame:
     """``(row_id, shingles)``: the distinct ``k``-character runs of every text."""
@@ -31,7 +34,8 @@ def shingle_matrix(sets: DataFrame, row_id: str, index: DataFrame) -> DataFrame:
     is joined in place, see ``join_by_count``.
     """
     ones = unnest(sets.select(row_id, "shingles"), "shingles", "shingle")
-    return join_by_count(ones, index, ["shingle"], "n").select(row_id, "idx")
+    # a short text and two numbers each: every executor may hold more of them than of other keys
+    return join_by_count(ones, index, ["shingle"], "n", limit=_INDEX_ROWS).select(row_id, "idx")
 
 
 def matrix_corner(

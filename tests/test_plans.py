@@ -112,3 +112,21 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 0 for i in range(41)} | {i: 100 for i in [100, *range(200, 230)]} | {301: 301, 302: 301}
     assert {r.node: r.component for r in components(df).collect()} == want
     assert components(df.limit(0)).collect() == []
+
+
+def test_join_by_count_sets_the_most_frequent_keys_apart(spark):
+    from tablework.plans import skew
+
+    # 20 keys of 64 rows each make nearly all rows, none of them a thousand; 40 keys have one
+    rows = [(f"often{i}", j) for i in range(20) for j in range(64)] + [(f"once{i}", 0) for i in range(40)]
+    left = spark.createDataFrame(rows, "k string, v int")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    hot = counts.filter(skew._frequent(counts, "n", 25)).select("k").collect()
+    assert {r.k for r in hot} == {f"often{i}" for i in range(20)}
+    assert counts.filter(skew._frequent(counts, "n", 19)).count() == 0
+    joined = join_by_count(left, counts, ["k"], "n", limit=25)
+    want = sorted((k, v, 64 if k.startswith("often") else 1) for k, v in rows)
+    assert sorted((r.k, r.v, r.n) for r in joined.collect()) == want
+    # up to the limit every key is broadcast: no row of the left side is shuffled
+    plan = join_by_count(left, counts, ["k"], "n", limit=60)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
