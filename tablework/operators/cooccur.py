@@ -20,6 +20,9 @@ _BROADCAST_GROUPS = 20_000
 # Words by words of which a product is worked out at once.
 _BLOCK = 512
 
+# Words by words, about, that one task of ``gram`` counts.
+_CELL = 1024
+
 
 def vocabulary(df: DataFrame, group: str, tokens: str, size: int = 100) -> DataFrame:
     """The ``size`` most frequent words of every group as ``(group, words)``, best first.
@@ -161,16 +164,18 @@ def cooccurrence(
 
 
 def gram(
-    df: DataFrame, group: str, tokens: str, size: int = 5000, diagonal: bool = True, block: int = _BLOCK
+    df: DataFrame, group: str, tokens: str, size: int = 5000, diagonal: bool = True, block: int = _CELL
 ) -> DataFrame:
     """Like ``cooccurrence`` for long lists of words: ``(group, r1, w1, r2, w2, n)`` with ``r1 <= r2`` and
     ``n > 0`` only, with or without the document frequencies (``r1 = r2``).
 
-    Products are worked out and added up block by block, and pairs that never meet are never
-    rows, so neither a task nor the result holds a group's whole matrix.
+    The words of a group fall into blocks of about ``block`` by a hash, and a task counts the pairs of two
+    blocks over all rows of the group, so the pairs become rows once, when they are added up, however
+    many rows there are; what is shuffled are the words of a row, once for every block. Pairs that never meet
+    are never rows, and neither a task nor the result holds a group's whole matrix.
     """
     words = stage(vocabulary(df, group, tokens, size), "vocabulary")
-    counts = _summed(present_in_group(df, group, tokens, words, size=size), group, block)
+    counts = _by_cells(present_in_group(df, group, tokens, words, size=size), group, -(-size // block))
     if not diagonal:
         counts = counts.filter("a <> b")
     ranks = stage(words.select(F.col(group).alias("_g"), F.posexplode("words").alias("_r", "_w")), "ranks")
@@ -188,6 +193,81 @@ def gram(
     )
 
 
+def _count_cells(group_type: pa.DataType):
+    """Rows of cells, one cell after the other, ``(g, i, j, x, y)``: for every cell ``(g, a, b, n)``, the rows
+    that hold a word ``a`` of their ``x`` and ``b`` of their ``y``. Where ``i = j``, ``y`` is null and is ``x``."""
+
+    def pairs(key: tuple, names: tuple[dict, dict], sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        same = key[1] == key[2]
+        left, right = (pa.array(list(d), type=pa.string()) for d in (names[0], names[0] if same else names[1]))
+        for at in range(0, len(left), 64):
+            part = sums[at : min(at + 64, len(left)), : len(right)]
+            i, j = np.nonzero(np.triu(part, at) if same else part)
+            columns = [pa.array([key[0]] * len(i), type=group_type), left.take(pa.array(i + at)), right.take(pa.array(j))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(part[i, j])], names=["g", "a", "b", "n"])
+
+    def numbers(lists: pa.Array, names: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all lists, and where each list starts."""
+        words = lists.flatten().dictionary_encode()
+        known = np.array([names.setdefault(w, len(names)) for w in words.dictionary.to_pylist()], dtype=np.int64)
+        ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        return known[words.indices.to_numpy()], np.concatenate(([0], ends)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, names, sums = None, ({}, {}), np.zeros((0, 0), dtype=np.int64)
+        for batch in batches:
+            codes = [batch.column(0).dictionary_encode().indices.fill_null(-1), batch.column(1), batch.column(2)]
+            moved = [np.diff(c.to_numpy(zero_copy_only=False)) != 0 for c in codes]
+            cuts = [0, *(np.flatnonzero(np.any(moved, axis=0)) + 1), batch.num_rows] if batch.num_rows else []
+            for start, end in zip(cuts, cuts[1:]):
+                here = batch.slice(start, end - start)
+                key = tuple(here.column(c)[0].as_py() for c in range(3))
+                if key != last:
+                    if last is not None:
+                        yield from pairs(last, names, sums)
+                    last, names, sums = key, ({}, {}), np.zeros((0, 0), dtype=np.int64)
+                x, of_x = numbers(here.column(3), names[0])
+                y, of_y = (x, of_x) if key[1] == key[2] else numbers(here.column(4), names[1])
+                size = max(len(names[0]), len(names[1]))
+                if size > len(sums):
+                    grown = np.zeros((size + size // 4,) * 2, dtype=np.int64)
+                    grown[: len(sums), : len(sums)] = sums
+                    sums = grown
+                for r in range(end - start):
+                    # a row has a word once
+                    sums[x[of_x[r] : of_x[r + 1], None], y[of_y[r] : of_y[r + 1]]] += 1
+        if last is not None:
+            yield from pairs(last, names, sums)
+
+    return count
+
+
+def _by_cells(present: DataFrame, group: str, blocks: int) -> DataFrame:
+    """``(g, a, b, n)``: rows of the group that hold both words, every pair in one order."""
+    cells = blocks * (blocks + 1) // 2
+    cores = present.sparkSession.sparkContext.defaultParallelism
+    # a single group, too, is work for all cores
+    slices = -(-cores // cells)
+    of_block = lambda b: F.filter("present", lambda w: F.pmod(F.xxhash64(w), F.lit(blocks)) == b)
+    parts = present.select(F.col(group).alias("g"), F.pmod(F.xxhash64("present"), F.lit(slices)).alias("s"), *[of_block(b).alias(f"b{b}") for b in range(blocks)])
+    cell = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"b{i}").alias("x"), (F.lit(None).cast("array<string>") if i == j else F.col(f"b{j}")).alias("y"))
+        for i in range(blocks)
+        for j in range(i, blocks)
+    ]
+    rows = unnest(parts.select("g", "s", F.array(*cell).alias("cells")), "cells", "cell").select("g", "s", "cell.*")
+    rows = rows.filter((F.size("x") > 0) & (F.col("y").isNull() | (F.size("y") > 0)))
+    # so many partitions that cells seldom share one
+    dealt = rows.repartition(4 * max(cores, cells), "g", "i", "j", "s").sortWithinPartitions("g", "i", "j", "s")
+    kind = present.schema[group].dataType
+    schema = StructType([StructField("g", kind), StructField("a", StringType()), StructField("b", StringType()), StructField("n", LongType())])
+    counted = dealt.select("g", "i", "j", "x", "y").mapInArrow(_count_cells(to_arrow_type(kind)), schema)
+    if slices == 1:
+        return counted
+    counted = counted.select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n")
+    return counted.groupBy("g", "a", "b").agg(F.sum("n").alias("n"))
+
+
 def _summed(present: DataFrame, group: str, block: int = _BLOCK) -> DataFrame:
     """``(g, a, b, n)``: rows of the group that hold both words, ``a <= b``."""
     kind = present.schema[group].dataType

@@ -2,6 +2,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tablework.operators import cooccur
 
@@ -65,3 +66,13 @@ def test_gram_in_blocks(spark):
         assert got | {(g, b, a): n for (g, a, b), n in got.items()} == want
     assert {(r.w1, r.w2) for r in cooccur.gram(df.filter("g is null"), "g", "t", 9, diagonal=False).collect()} == {("x", "y")}
     assert cooccur.gram(df.filter("g = 'silent'"), "g", "t").collect() == []
+
+
+def test_pairs_of_gram_leave_a_task_once(spark):
+    rows = [("g", [f"w{v}" for v in range(40)])] * 400
+    df = spark.createDataFrame(rows, "g string, t array<string>").repartition(20)
+    cells = cooccur._by_cells(df.select("g", F.col("t").alias("present")), "g", 10)
+    # 20 tasks of rows, but one row for every pair, without a sum behind the tasks
+    assert cells.count() == 40 * 41 // 2
+    assert "Aggregate" not in cells._jdf.queryExecution().executedPlan().toString()
+    assert {r.n for r in cells.collect()} == {400}
