@@ -1,7 +1,10 @@
 import hashlib
+import tracemalloc
+from inspect import signature
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablework.functions.hashing import PRIME, SHINGLE_BASE, MinHashFamily
@@ -193,3 +196,20 @@ def test_low_bytes_bound_the_agreement(spark):
     marks = df.select(agreement("x", "y").alias("all"), low_bytes("x").alias("p"), low_bytes("y").alias("q"))
     got = [(r.all, r.low) for r in marks.select("all", equal_bytes("p", "q").alias("low")).collect()]
     assert got == [(2 / 3, 1.0), (0.0, 0.0)]
+
+
+def test_pairs_of_a_cell_of_alike_texts_fit_a_worker():
+    rows = signature(lsh.candidate_pairs).parameters["block_rows"].default
+    assert 24 * rows * rows <= 500 * 2**20  # three values of eight bytes a pair
+    sig = pa.FixedSizeListArray.from_arrays(pa.array(np.ones(1000 * 10, dtype=np.int64)), 10).cast(pa.list_(pa.int64()))
+    one, other = (pa.table({"rep": pa.array(np.arange(1000) + at), "sig": sig}) for at in (0, 1000))
+    key = (pa.scalar({"band": 0, "key": "x"}), pa.scalar(0), pa.scalar(1))
+    tracemalloc.start()
+    found = lsh._close_pairs(0.8, 5)(key, one, other)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 1000 * 1000 and found.schema.names == ["a", "b", "agreement"]
+    # the pairs once, not once in parts and once joined
+    assert peak < 1.6 * found.nbytes, (peak, found.nbytes)
+    none = lsh._close_pairs(0.8, 5)(key, one.slice(0, 0), other)
+    assert none.num_rows == 0 and none.schema == found.schema
