@@ -2,16 +2,91 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from tablework.plans import join_lookup
+from tablework.plans import join_lookup, pack, unpack
 
 #: A segment covers this many row ids, so no list is longer, and a frequent shingle has many.
 SPAN = 4096
+# Ones that a task gathers before it sends them on.
+_HELD = 1 << 21
+# A cell is a segment by as many shingle numbers as give it so many places.
+_PLACES = 1 << 26
+
+
+def _runs(keys: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs of equal rows in ``keys``."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    starts = np.flatnonzero(new)
+    return zip(starts, np.append(starts[1:], len(new)))
+
+
+def _gather(span: int, wide: int):
+    """Ones as packed rows: those of a segment and ``wide`` shingle numbers that a task holds at a time."""
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        idx, ids = (np.concatenate(c) for c in zip(*held))
+        segment, high = ids // span, idx // wide
+        at = (idx - high * wide) * span + (ids - segment * span)
+        if (np.diff(segment) < 0).any() or (np.diff(high) != 0).any():
+            order = np.lexsort((high, segment))
+            segment, high, at = segment[order], high[order], at[order]
+        out = []
+        for start, end in _runs([segment, high]):
+            places = np.sort(at[start:end])
+            places = places[np.append(True, np.diff(places) > 0)]
+            out.append((segment[start], high[start], len(places), pack(np.diff(places, prepend=0))))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["segment", "high", "size", "places"])
+
+    def gather(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            rows += batch.num_rows
+            if rows >= _HELD:
+                yield packed(held)
+                held, rows = [], 0
+        if rows:
+            yield packed(held)
+
+    return gather
+
+
+def _lists(span: int, wide: int):
+    """Cell: the lists of a segment and ``wide`` shingle numbers."""
+
+    def lists(key: tuple, parts: pa.Table) -> pa.Table:
+        segment, high = (k.as_py() for k in key)
+        sizes, data = parts.column("size").to_pylist(), parts.column("places").to_pylist()
+        places = [np.cumsum(unpack(d, n)) for n, d in zip(sizes, data)]
+        places = places[0] if len(places) == 1 else np.sort(np.concatenate(places))
+        places = places[np.append(True, np.diff(places) > 0)]
+        idx = places // span
+        at = (places - idx * span).astype(np.int32)
+        first = np.flatnonzero(np.append(True, np.diff(idx) > 0))
+        steps = np.diff(at, prepend=np.int32(0))
+        steps[first] = at[first]
+        ends = np.append(first, len(at)).astype(np.int32)
+        return pa.table(
+            {
+                "idx": idx[first] + high * wide,
+                "segment": np.full(len(first), segment, dtype=np.int64),
+                "n": np.diff(ends),
+                "deltas": pa.ListArray.from_arrays(pa.array(ends), pa.array(steps)),
+            }
+        )
+
+    return lists
 
 
 def posting_lists(ones: DataFrame, row_id: str, idx: str = "idx", span: int = SPAN) -> DataFrame:
@@ -19,14 +94,15 @@ def posting_lists(ones: DataFrame, row_id: str, idx: str = "idx", span: int = SP
 
     ``deltas`` are the steps between rising ids, the first one from the segment's least
     possible id (``segment * span``), so all are small whole numbers. Repeated ones count once; nulls drop out.
+
+    A task packs the ones it reads by segment before the only shuffle, some bytes for each; a segment's lists
+    are then made together, a bounded number of shingles at a time.
     """
-    ids = ones.select(F.col(idx).alias("idx"), F.col(row_id).cast("long").alias("_id")).dropna()
-    within = F.pmod("_id", F.lit(span))
-    lists = ids.groupBy("idx", F.floor((F.col("_id") - within) / span).cast("long").alias("segment")).agg(
-        F.sort_array(F.collect_set(within.cast("int"))).alias("_at")
-    )
-    before = F.concat(F.array(F.lit(0)), F.slice("_at", 1, F.size("_at") - 1))
-    return lists.select("idx", "segment", F.size("_at").alias("n"), F.zip_with("_at", before, lambda x, y: x - y).alias("deltas"))
+    ids = ones.select(F.col(idx).cast("long").alias("idx"), F.col(row_id).cast("long").alias("_id")).dropna()
+    wide = max(1, _PLACES // span)
+    cells = ids.mapInArrow(_gather(span, wide), "segment bigint, high bigint, size bigint, places binary")
+    lists = cells.groupBy("segment", "high").applyInArrow(_lists(span, wide), "idx bigint, segment bigint, n int, deltas array<int>")
+    return lists.withColumn("idx", F.col("idx").cast(ones.schema[idx].dataType))
 
 
 @F.pandas_udf(ArrayType(IntegerType()))

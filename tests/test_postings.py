@@ -31,3 +31,14 @@ def test_lists_give_the_ones_back(spark, span):
 def test_empty(spark):
     none = postings.posting_lists(spark.createDataFrame([], "doc bigint, idx bigint"), "doc")
     assert none.collect() == postings.shared_rows(none, spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_ones_are_packed_before_the_shuffle(spark):
+    ones = spark.range(20_000).selectExpr("id div 20 as doc", "id % 20 as idx").repartition(3)
+    kinds = list(postings._gather(256, 8)([b for b in ones.toArrow().select(["idx", "doc"]).to_batches()]))
+    # four segments by three cells of eight numbers, whatever the number of ones
+    assert sum(b.num_rows for b in kinds) == 4 * 3
+    lists = postings.posting_lists(ones, "doc", span=256)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(segment") == 1 and "collect_set" not in plan
+    assert sorted((r.idx, r.segment, r.n) for r in lists.collect()) == [(i, s, min(256, 1000 - 256 * s)) for i in range(20) for s in range(4)]
