@@ -42,3 +42,19 @@ def test_ones_are_packed_before_the_shuffle(spark):
     plan = lists._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(segment") == 1 and "collect_set" not in plan
     assert sorted((r.idx, r.segment, r.n) for r in lists.collect()) == [(i, s, min(256, 1000 - 256 * s)) for i in range(20) for s in range(4)]
+
+
+def test_pairs_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(postings, "_PAIRS", 7)
+    monkeypatch.setattr(postings, "_HELD", 5)
+    monkeypatch.setattr(postings, "_PLACES", 64)
+    ones = [(d, i) for d in range(-40, 60) for i in range(-3, 12) if d % (abs(i) + 1) == 0]
+    df = spark.createDataFrame(ones, "doc bigint, idx int")
+    lists = postings.posting_lists(df, "doc", span=16)
+    assert dict(lists.dtypes)["idx"] == "int"
+    pairs = [(a, b) for a in range(-4, 13) for b in range(-4, 13)] + [(None, 1)]
+    got = postings.shared_rows(lists, spark.createDataFrame(pairs, "a int, b int"))
+    rows = {i: {d for d, j in ones if j == i} for i in range(-4, 13)}
+    assert {(r.a, r.b): r.n for r in got.collect()} == {(a, b): len(rows[a] & rows[b]) if a is not None else 0 for a, b in pairs}
+    # every list is sent packed, its partners with it
+    assert got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(segment") >= 1
