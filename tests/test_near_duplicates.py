@@ -213,3 +213,56 @@ def test_pairs_of_a_cell_of_alike_texts_fit_a_worker():
     assert peak < 1.6 * found.nbytes, (peak, found.nbytes)
     none = lsh._close_pairs(0.8, 5)(key, one.slice(0, 0), other)
     assert none.num_rows == 0 and none.schema == found.schema
+
+
+def test_lines_of_a_group_are_sent_once_not_once_a_pair(spark, monkeypatch):
+    words = [chr(97 + i) * 4 for i in range(20)]
+    texts = {i: " ".join(words[:i] + ["zz"] + words[i:]) for i in range(20)} | {100 + i: f"{w} other" for i, w in enumerate(words)}
+    df = spark.createDataFrame([*texts.items(), (0, "a second text"), (200, "é" * 9), (201, "é" * 8 + " x")], "d bigint, t string")
+    pairs = list(combinations(range(20), 2)) + [(100 + i, 101 + i) for i in range(0, 18, 2)] + [(200, 201)]
+    sent = []
+
+    def noted(df, name):
+        sent.append((name, df))
+        return stage(df, name)
+
+    from tablework.plans import stage
+
+    monkeypatch.setattr(lsh, "stage", noted)
+    for chars in (lsh._BLOCK_CHARS, 300):
+        monkeypatch.setattr(lsh, "_BLOCK_CHARS", chars)
+        sent.clear()
+        got = lsh.verified_pairs(spark.createDataFrame(pairs, "a bigint, b bigint"), df, "d", "t").collect()
+        cut = lambda s: {s[i : i + 5] for i in range(len(s) - 4)}
+        share = lambda x, y: len(cut(x) & cut(y)) / len(cut(x) | cut(y))
+        want = {(a, b): share(texts[a], texts[b]) for a, b in pairs if 0 < a < 200}
+        assert {(r.a, r.b): r.jaccard for r in got if 0 < r.a < 200} == want
+        # both texts of a repeated id
+        assert sorted(r.jaccard for r in got if (r.a, r.b) == (0, 5)) == sorted(share(t, texts[5]) for t in (texts[0], "a second text"))
+        cells = dict(sent)["cells"].collect()
+        lines = {(r.i, r.j, bytes(d)) for r in cells for d in (r.x, r.y)}
+        # in one block a line is sent once, in several once for each block it meets
+        assert len(cells) == len(pairs) + 19 and len(lines) < (50 if chars > 300 else 300)
+        assert (len({(r.i, r.j) for r in cells}) > 3) == (chars == 300)
+
+
+def test_runs_have_the_same_numbers_in_all_lines():
+    draw = np.random.RandomState(3)
+    lines = ["".join(chr(c) for c in draw.choice([97, 98, 233, 0x1F600], draw.randint(0, 40))) for _ in range(30)] + ["", "abcd"]
+    for k in (1, 5, 40):
+        runs = [set(r.tolist()) for r in lsh._run_numbers(lines, k)]
+        cut = [{t[i : i + k] for i in range(len(t) - k + 1)} for t in lines]
+        assert [[len(x & y) for y in runs] for x in runs] == [[len(x & y) for y in cut] for x in cut]
+
+
+def test_low_bits_bound_the_agreement(spark):
+    from tablework.functions.hashing import low_bits
+
+    draw = np.random.RandomState(8)
+    rows = draw.randint(0, PRIME, (40, 100))
+    rows[1:, :85] = rows[0, :85]
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "sig array<bigint>")
+    words = [r.bits for r in df.select(low_bits("sig").alias("bits")).collect()]
+    assert {len(w) for w in words} == {2}
+    differ = [sum(bin((x ^ y) & (1 << 64) - 1).count("1") for x, y in zip(words[0], w)) for w in words]
+    assert differ == [int(((rows[0] ^ r) & 1).sum()) for r in rows]
